@@ -1,37 +1,42 @@
 """Distribution functions Spark SQL lacks, as small vectorised helpers.
 
 They run on results that are already aggregated: distinct values, one row per test.
+Each helper is built inside a function so that it travels to the executors by value
+and the package need not be installed there.
 """
-import math
-
-import numpy as np
 import pandas as pd
+from pyspark.sql import Column
 from pyspark.sql import functions as F
-
-_erfc = np.frompyfunc(math.erfc, 1, 1)
+from pyspark.sql import types as T
 
 
-@F.pandas_udf("double")
-def normal_cdf(z: pd.Series) -> pd.Series:
+def normal_cdf(z: Column) -> Column:
     """Standard normal distribution function."""
-    return pd.Series((0.5 * _erfc(-z.to_numpy(dtype=float) / math.sqrt(2))).astype(float))
+
+    @F.pandas_udf(T.DoubleType())
+    def cdf(values: pd.Series) -> pd.Series:
+        from math import erfc, sqrt
+        return values.map(lambda v: 0.5 * erfc(-v / sqrt(2)), na_action="ignore").astype(float)
+
+    return cdf(z)
 
 
-@F.pandas_udf("double")
-def kolmogorov_tail(x: pd.Series) -> pd.Series:
+def kolmogorov_tail(x: Column) -> Column:
     """P(K > x) of the limiting Kolmogorov distribution."""
-    v = x.to_numpy(dtype=float)
-    out = np.ones_like(v)
-    # For small x the theta-function form converges, for large x the alternating one.
-    small = (v > 0) & (v < 1.18)
-    if small.any():
-        s = v[small]
-        odd = np.arange(1, 40, 2)[:, None]
-        out[small] = 1 - np.sqrt(2 * np.pi) / s * np.exp(
-            -(odd ** 2) * np.pi ** 2 / (8 * s ** 2)).sum(axis=0)
-    large = v >= 1.18
-    if large.any():
-        j = np.arange(1, 40)[:, None]
-        out[large] = 2 * ((-1.0) ** (j - 1) * np.exp(-2 * j ** 2 * v[large] ** 2)).sum(axis=0)
-    out[np.isnan(v)] = np.nan
-    return pd.Series(np.clip(out, 0.0, 1.0))
+
+    @F.pandas_udf(T.DoubleType())
+    def tail(values: pd.Series) -> pd.Series:
+        from math import exp, pi, sqrt
+
+        def one(v):
+            if v <= 0:
+                return 1.0
+            if v < 1.18:  # the theta-function form converges fast for small values
+                below = sqrt(2 * pi) / v * sum(
+                    exp(-(k * pi) ** 2 / (8 * v * v)) for k in range(1, 40, 2))
+                return min(1.0, max(0.0, 1.0 - below))
+            return min(1.0, 2 * sum((-1) ** (j - 1) * exp(-2 * (j * v) ** 2) for j in range(1, 40)))
+
+        return values.map(one, na_action="ignore").astype(float)
+
+    return tail(x)

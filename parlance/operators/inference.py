@@ -10,6 +10,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.labels import effect_label
 from ..functions.numeric import kolmogorov_tail, normal_cdf
@@ -149,7 +150,7 @@ def bootstrap_median_difference(spark: SparkSession, df: DataFrame, value: str,
     steps = steps.withColumn("slice", F.explode(F.sequence(
         F.floor(F.col("below") / width), F.floor((F.col("below") + F.col("n") - 1) / width))))
 
-    @F.pandas_udf("array<double>")
+    @F.pandas_udf(T.ArrayType(T.DoubleType()))
     def middle_places(replicate: pd.Series, n: pd.Series, part: pd.Series) -> pd.Series:
         """Places in [0, 1) of the middle order statistic(s) of n uniform draws."""
         out = []
