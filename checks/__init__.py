@@ -1,7 +1,7 @@
 """Registered queries with their oracle SQL."""
 from importlib import import_module
 
-SUBJECTS = ["structure", "users", "localtime", "devices", "harm", "languages"]
+SUBJECTS = ["structure", "users", "localtime", "devices", "harm", "languages", "models"]
 
 
 def all_checks() -> dict:

@@ -92,16 +92,16 @@ def normality(spark, sf):
 
 def mann_whitney_sql(source: str) -> str:
     """Statistics of a table ``source``(value, n1, n2) of counts per value."""
-    return f"""c AS (SELECT *, COALESCE(sum(n2) OVER (ORDER BY value ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below
-  FROM {source}), s AS (
+    return f"""ranked AS (SELECT *, COALESCE(sum(n2) OVER (ORDER BY value ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below
+  FROM {source}), summed AS (
   SELECT CAST(sum(n1) AS DOUBLE) AS a, CAST(sum(n2) AS DOUBLE) AS b, CAST(sum(n1 * (below + n2 / 2)) AS DOUBLE) AS u,
-    CAST(sum((n1 + n2) ** 3 - (n1 + n2)) AS DOUBLE) AS ties FROM c), z AS (
+    CAST(sum((n1 + n2) ** 3 - (n1 + n2)) AS DOUBLE) AS ties FROM ranked), scored AS (
   SELECT *, greatest(0, (greatest(u, a * b - u) - a * b / 2 - 0.5)
-    / sqrt(a * b / 12 * (a + b + 1 - ties / ((a + b) * (a + b - 1))))) AS z FROM s)
+    / sqrt(a * b / 12 * (a + b + 1 - ties / ((a + b) * (a + b - 1))))) AS z FROM summed)
 SELECT CAST(a AS BIGINT) AS n1, CAST(b AS BIGINT) AS n2, round(u, 6) AS u, round(z, 6) AS z,
   round(z / sqrt(a + b), 6) AS effect_size,
   CASE WHEN z / sqrt(a + b) < 0.1 THEN 'Negligible effect' WHEN z / sqrt(a + b) < 0.3 THEN 'Small effect'
-    WHEN z / sqrt(a + b) < 0.5 THEN 'Medium effect' ELSE 'Large effect' END AS interpretation FROM z"""
+    WHEN z / sqrt(a + b) < 0.5 THEN 'Medium effect' ELSE 'Large effect' END AS interpretation FROM scored"""
 
 
 _SHARES = "round({m} * 100.0 / {t}, 6) AS mobile_percentage, round({d} * 100.0 / {t}, 6) AS desktop_percentage"

@@ -82,7 +82,9 @@ _SWITCH = f"""WITH {MESSAGES}, s AS (
   WINDOW w AS (PARTITION BY turn_identifier ORDER BY CASE WHEN role = 'user' THEN 1 ELSE 2 END, pos)), replies AS (
   SELECT * FROM s WHERE role = 'assistant')"""
 _TOP = """SELECT {keys}, count(*) AS count, CAST(row_number() OVER (PARTITION BY {group} ORDER BY count(*) DESC, {tie}) AS BIGINT) AS rank
-FROM {src} GROUP BY ALL QUALIFY rank <= {k}"""
+FROM {src} GROUP BY {keys} QUALIFY rank <= {k}"""
+
+_WIDE = ", ".join(f"any_value(count) FILTER (language = '{x}') AS \"{x}\"" for x in LANGUAGES)
 
 CHECKS = {
     "top_languages": Check(top, f"""
@@ -92,8 +94,7 @@ WITH {CHATS}, {VENDORS} SELECT language, count(*) AS count FROM
 WITH {CHATS} {_TOP.format(keys='model_tag, language', group='model_tag', tie='language', src='families', k=3)}"""),
     "top_languages_by_tag_wide": Check(by_tag_wide, f"""
 WITH {CHATS}, t AS ({_TOP.format(keys='model_tag, language', group='model_tag', tie='language', src='families', k=3)})
-SELECT model_tag, {', '.join(f'{sum_big("count")} FILTER (language = {chr(39)}{x}{chr(39)}) AS "{x}"'.replace(') FILTER', ') FILTER') for x in LANGUAGES)}
-FROM t GROUP BY 1""".replace(" AS BIGINT) FILTER", " AS BIGINT) FILTER")),
+SELECT model_tag, {_WIDE} FROM t GROUP BY 1"""),
     "top_countries": Check(countries, f"""
 WITH {CHATS} SELECT country, count(*) AS count FROM chats GROUP BY 1 ORDER BY 2 DESC, 1 NULLS FIRST LIMIT 20"""),
     "top_languages_by_country": Check(by_country, f"""
@@ -125,7 +126,3 @@ SELECT {sum_big('sw')} AS total_language_switches, count(*) AS total_turns,
 SELECT count(*) AS n, round(avg(sw), 6) AS mean, round(stddev_samp(sw), 6) AS std FROM replies WHERE model_tag = 'gpt-4'"""),
     "switch_normality_distance": Check(normality_distance),
 }
-_WIDE = ", ".join(f"any_value(count) FILTER (language = '{x}') AS \"{x}\"" for x in LANGUAGES)
-CHECKS["top_languages_by_tag_wide"].sql = f"""
-WITH {CHATS}, t AS ({_TOP.format(keys='model_tag, language', group='model_tag', tie='language', src='families', k=3)})
-SELECT model_tag, {_WIDE} FROM t GROUP BY 1"""

@@ -115,7 +115,7 @@ SELECT conv_id, count(*) AS count FROM conversations GROUP BY conv_id HAVING cou
     "combined_corpus": Check(combined_corpus, f"""
 WITH {CHATS}, {VENDORS}
 SELECT model, count(*) AS conversations, count(*) AS dated, {sum_big('len(lines)')} AS messages,
-  CAST(NULL AS BIGINT) AS hate_threatening FROM chats GROUP BY model
+  CAST(0 AS BIGINT) AS hate_threatening FROM chats GROUP BY model
 UNION ALL
 SELECT v.model, count(*), CAST(0 AS BIGINT), {sum_big('len(lines)')},
   {sum_big("len(list_filter(lines, lambda x: contains(x, 'div')))")}

@@ -7,6 +7,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import (
     IDF, HashingTF, StandardScaler, StopWordsRemover, Tokenizer, Word2Vec,
 )
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -170,31 +171,44 @@ def embed_messages(drawn: DataFrame, keys, fraction: float = 0.1, size: int = 10
     return vectors.fit(sampled).transform(sampled)
 
 
-def fit_label_classifiers(embedded: DataFrame, hidden=(256, 128), max_iter: int = 100,
-                          seed: int = 42) -> DataFrame:
-    """One network per label; its metrics on the test part, one row per label.
+def network(width: int, hidden=(256, 128), max_iter: int = 100, seed: int = 42):
+    """The layered network of the label classifiers."""
+    return MultilayerPerceptronClassifier(layers=[width, *hidden, 2], maxIter=max_iter, seed=seed)
 
-    Labels with a single class in the training part cannot be learnt and are left out.
+
+def regression(width: int, max_iter: int = 100):
+    """A linear alternative to the network."""
+    return LogisticRegression(maxIter=max_iter)
+
+
+def fit_label_classifiers(embedded: DataFrame, estimator=network) -> DataFrame:
+    """One classifier per label; its metrics on the test part, one row per label.
+
+    ``estimator`` makes an unfitted classifier for a feature width. Labels with a
+    single class in the training part cannot be learnt and are left out. All labels
+    are scored in one pass over the test part.
     """
-    train = embedded.filter("part = 'train'").persist()
-    test = embedded.filter("part = 'test'")
-    out = None
+    train = embedded.filter("part = 'train'").select("features", *MESSAGE_LABELS).persist()
+    scored, learnt = embedded.filter("part = 'test'").select("features", *MESSAGE_LABELS), []
     try:
-        sums = train.agg(F.count("*").alias("n"), *[F.sum(c).alias(c) for c in MESSAGE_LABELS]).first()
+        seen = train.agg(
+            F.count("*").alias("n"), F.first(F.size(vector_to_array("features"))).alias("width"),
+            *[F.sum(c).alias(c) for c in MESSAGE_LABELS]).first()
         for name in MESSAGE_LABELS:
-            if sums[name] in (None, 0, sums["n"]):
+            if seen[name] in (None, 0, seen["n"]):
                 continue
-            width = len(train.select("features").first()[0])
-            network = MultilayerPerceptronClassifier(
-                featuresCol="features", labelCol="label", layers=[width, *hidden, 2],
-                maxIter=max_iter, seed=seed)
-            fitted = network.fit(train.withColumn("label", F.col(name).cast("double")))
-            scored = fitted.transform(test.withColumn("label", F.col(name).cast("double"))).select(
-                F.lit(name).alias("label_name"), "label", "prediction")
-            out = scored if out is None else out.union(scored)
+            model = estimator(seen["width"]).setParams(
+                featuresCol="features", labelCol=name, predictionCol=f"said_{name}",
+                rawPredictionCol=f"raw_{name}", probabilityCol=f"chance_{name}").fit(train)
+            scored = model.transform(scored).drop(f"raw_{name}", f"chance_{name}")
+            learnt.append(name)
     finally:
         train.unpersist()
-    return binary_metrics(out)
+    pairs = [
+        F.struct(F.lit(name).alias("label_name"), F.col(name).cast("int").alias("label"),
+                 F.col(f"said_{name}").cast("int").alias("prediction")) for name in learnt]
+    empty = F.array().cast("array<struct<label_name:string,label:int,prediction:int>>")
+    return binary_metrics(scored.select(F.inline(F.array(*pairs) if pairs else empty)))
 
 
 def binary_metrics(scored: DataFrame) -> DataFrame:
