@@ -7,8 +7,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+_opened: dict[tuple, DataFrame] = {}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    """A supplied table; its footer is read once per application."""
+    key = (spark.sparkContext.applicationId, sf, name)
+    if key not in _opened:
+        _opened[key] = spark.read.parquet(f"{sf}/{name}.parquet")
+    return _opened[key]
 
 
 def mapped(column: Column, pairs: dict, otherwise=None) -> Column:

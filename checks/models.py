@@ -68,7 +68,8 @@ def label_classifiers(spark, sf):
     drawn = cl.draw_labelled_messages(messages, keys)
     # The draw is small at these scales, so all of it is used.
     return cl.fit_label_classifiers(
-        cl.embed_messages(drawn, keys, fraction=1.0, size=20, min_count=2), cl.regression)
+        cl.embed_messages(drawn, keys, fraction=1.0, size=20, min_count=2),
+        lambda width: cl.regression(width, max_iter=10))
 
 
 def labelled_draw(spark, sf):

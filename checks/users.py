@@ -1,6 +1,7 @@
 """Registered queries on users and engagement."""
 from pyspark.sql import functions as F
 
+from parlance.operators.lineage import settled
 from parlance.plans import users as us
 
 from .adapters import USAGE, usage_log
@@ -71,7 +72,7 @@ def class_sizes(spark, sf):
 
 
 def _trimmed(spark, sf):
-    return us.without_heaviest(us.activity_profile(usage_log(spark, sf)))
+    return us.without_heaviest(settled(us.activity_profile(usage_log(spark, sf))))
 
 
 def class_counts(spark, sf):

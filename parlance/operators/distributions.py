@@ -30,16 +30,20 @@ def equal_width_histogram(spark: SparkSession, df: DataFrame, value: str, bins:
     Empty bins are listed with 0. The top edge belongs to the last bin. If all values
     are equal the range is widened by a half on both sides.
     """
-    values = df.filter(F.col(value).isNotNull()).select(F.col(value).cast("double").alias("v"))
-    range_ = values.agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
+    values = (
+        df.filter(F.col(value).isNotNull())
+        .groupBy(F.col(value).cast("double").alias("v")).count()
+    )
+    # Reading the counts here too keeps this aggregate equal to the one below, so
+    # that Spark runs it once.
+    range_ = values.agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.sum("count").alias("rows"))
     flat = F.col("lo") == F.col("hi")
     range_ = range_.select(F.struct(
         F.when(flat, F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),
-        F.when(flat, F.col("hi") + 0.5).otherwise(F.col("hi")).alias("hi")).alias("r"))
+        F.when(flat, F.col("hi") + 0.5).otherwise(F.col("hi")).alias("hi"), "rows").alias("r"))
     lo, hi = range_.scalar()["lo"], range_.scalar()["hi"]
     counted = (
-        values.groupBy("v").count()
-        .groupBy(F.least(F.floor((F.col("v") - lo) / (hi - lo) * bins),
+        values.groupBy(F.least(F.floor((F.col("v") - lo) / (hi - lo) * bins),
                          F.lit(bins - 1)).cast("long").alias("bin"))
         .agg(F.sum("count").alias("n"))
     )
@@ -75,19 +79,3 @@ def quantile_bin_histogram(df: DataFrame, value: str, bins: int = 10,
         F.get(edges, F.col("bin") + 1).alias("high"),
         "count",
         percent(F.col("count"), total).alias("percentage"))
-
-
-def weighted_lower_quantile(df: DataFrame, key: str, value: str, weight: str,
-                            probability: float, out: str) -> DataFrame:
-    """Exact quantile per key of values that come with counts.
-
-    Gives the element that ``percentile_approx`` picks on the expanded rows.
-    """
-    ordered = Window.partitionBy(key).orderBy(value)
-    whole = Window.partitionBy(key)
-    reached = df.select(
-        key, value,
-        F.sum(weight).over(ordered).alias("_reached"),
-        F.sum(weight).over(whole).alias("_total"))
-    hit = F.col("_reached") >= F.col("_total") * F.lit(probability)
-    return reached.groupBy(key).agg(F.min(F.when(hit, F.col(value))).alias(out))

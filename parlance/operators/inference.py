@@ -2,7 +2,8 @@
 
 Samples are reduced to (value, count) before anything is ordered. Cumulative counts
 are formed inside value ranges and carried from range to range, so no task sees more
-than one range of distinct values.
+than one range of distinct values. The counts are stored once: the log is read a
+single time per test.
 """
 from statistics import NormalDist
 
@@ -15,6 +16,7 @@ from pyspark.sql import types as T
 from ..functions.labels import effect_label
 from ..functions.numeric import kolmogorov_tail, normal_cdf
 from .distributions import quantile
+from .lineage import settled
 
 RANGES = 64
 
@@ -70,7 +72,8 @@ def mann_whitney(df: DataFrame, value: str, group: str, first, second,
     ``u`` counts the pairs in which the first sample's value is larger, ties as half.
     ``effect_size`` is |z| / sqrt(n1 + n2).
     """
-    table = with_counts_below(two_sample_counts(df, value, group, first, second, weight), ["n2"])
+    counts = settled(two_sample_counts(df, value, group, first, second, weight))
+    table = with_counts_below(counts, ["n2"])
     ties = (F.col("n1") + F.col("n2")).cast("double")
     sums = table.agg(
         F.sum("n1").alias("n1"), F.sum("n2").alias("n2"),
@@ -95,7 +98,7 @@ def ks_against_fitted_normal(df: DataFrame, value: str, weight: str | None = Non
 
     One row: n, mean, std, statistic, p_value (limiting distribution).
     """
-    counts = (
+    counts = settled(
         df.filter(F.col(value).isNotNull())
         .groupBy(F.col(value).cast("double").alias("value"))
         .agg((F.count("*") if weight is None else F.sum(weight)).alias("n"))
@@ -136,13 +139,13 @@ def bootstrap_median_difference(spark: SparkSession, df: DataFrame, value: str,
     n rows per replicate: the work is one lookup per replicate and group in the
     cumulative counts. The interval is the percentile interval.
     """
-    parts = two_sample_counts(df, value, group, first, second)
-    parts = with_counts_below(parts, ["n1", "n2"])
+    counts = settled(two_sample_counts(df, value, group, first, second))
+    parts = with_counts_below(counts, ["n1", "n2"])
     pieces = F.explode(F.array(
         F.struct(F.lit(1).alias("part"), F.col("n1").alias("n"), F.col("n1_below").alias("below")),
         F.struct(F.lit(2).alias("part"), F.col("n2").alias("n"), F.col("n2_below").alias("below"))))
     steps = parts.select("value", pieces.alias("p")).select("value", "p.*").filter(F.col("n") > 0)
-    sizes = parts.agg(F.struct(F.sum("n1").alias("n1"), F.sum("n2").alias("n2")).alias("s")).scalar()
+    sizes = counts.agg(F.struct(F.sum("n1").alias("n1"), F.sum("n2").alias("n2")).alias("s")).scalar()
 
     # Ranks 0..n-1 are cut into RANGES slices; a value is listed in every slice it spans.
     size = F.when(F.col("part") == 1, sizes["n1"]).otherwise(sizes["n2"])

@@ -30,36 +30,50 @@ def ordinal_within(df: DataFrame, key: str, position: str, out: str,
     )
 
 
-def gap_counts(df: DataFrame, key: str, second: str, slot: int = 3600) -> DataFrame:
-    """How often each gap between consecutive rows of a key occurs: (key, gap, weight).
+def gap_statistics(df: DataFrame, key: str, second: str, probability: float = 0.5,
+                   slot: int = 3600) -> DataFrame:
+    """Per key: rows, mean and lower quantile of the gaps between consecutive rows.
 
-    ``second`` is a whole number of seconds. Rows are first reduced to the distinct
-    seconds of each (key, slot), at most ``slot`` of them however many rows a key has;
-    gaps inside a slot are differences of that sorted array, gaps between slots need
-    only the first and last second of each slot.
+    ``second`` is a whole number of seconds; rows without it count in ``rows`` only.
+    Rows are first reduced to the distinct seconds of each (key, slot), at most
+    ``slot`` of them however many rows a key has, and those to counted gaps. The
+    second shuffle, by key alone, moves one short row per slot, so the share of one
+    key is bounded by the time the data spans. Everything after it stays in place.
     """
     slots = (
-        df.filter(F.col(key).isNotNull() & F.col(second).isNotNull())
+        df.filter(F.col(key).isNotNull())
         .groupBy(key, F.floor(F.col(second) / slot).alias("_slot"))
-        .agg(F.sort_array(F.collect_set(second)).alias("_seen"), F.count("*").alias("_n"))
+        .agg(F.sort_array(F.collect_set(second)).alias("_seen"), F.count("*").alias("_rows"))
     )
-    inside = slots.select(key, F.explode(F.zip_with(
-        F.slice("_seen", 2, slot), F.slice("_seen", 1, slot), lambda b, a: b - a)).alias("gap"))
-    inside = inside.filter(F.col("gap").isNotNull()).withColumn("weight", F.lit(1).cast("long"))
-    repeats = slots.select(
-        key, F.lit(0).cast("long").alias("gap"),
-        (F.col("_n") - F.size("_seen")).alias("weight")).filter(F.col("weight") > 0)
-    edges = slots.select(
-        key, "_slot", F.get("_seen", F.lit(0)).alias("_first"),
-        F.element_at("_seen", -1).alias("_last"))
-    between = edges.select(
-        key,
-        (F.col("_first") - F.lag("_last").over(
-            Window.partitionBy(key).orderBy("_slot"))).alias("gap"),
-        F.lit(1).cast("long").alias("weight")).filter(F.col("gap").isNotNull())
+    later = F.slice("_seen", 2, slot)
+    steps = F.zip_with(later, F.slice("_seen", 1, F.greatest(F.size("_seen") - 1, F.lit(0))),
+                       lambda b, a: b - a)
+    slots = slots.withColumn("_steps", steps).select(
+        key, "_slot", "_rows",
+        F.get("_seen", F.lit(0)).alias("_first"),
+        F.try_element_at("_seen", F.lit(-1)).alias("_last"),
+        F.transform(F.array_distinct("_steps"), lambda g: F.struct(
+            g.alias("gap"), F.size(F.filter("_steps", lambda s: s == g)).cast("long").alias("weight"))).alias("_inside"),
+        F.when(F.col("_slot").isNotNull(), F.col("_rows") - F.size("_seen")).otherwise(0).alias("_repeats"))
+    whole = Window.partitionBy(key)
+    between = F.col("_first") - F.lag("_last").over(whole.orderBy("_slot"))
+    linked = slots.withColumn("_between", between).withColumn("_total", F.sum("_rows").over(whole))
+    zero = F.struct(F.lit(0).cast("long").alias("gap"), F.col("_repeats").alias("weight"))
+    border = F.struct(
+        F.col("_between").alias("gap"),
+        F.when(F.col("_between").isNotNull(), 1).otherwise(0).cast("long").alias("weight"))
+    counted = (
+        linked.select(key, "_total", F.inline(F.concat("_inside", F.array(zero, border))))
+        .groupBy(key, "gap").agg(F.sum("weight").alias("weight"), F.max("_total").alias("_total"))
+    )
+    reached = F.sum("weight").over(whole.orderBy("gap"))
+    needed = F.sum("weight").over(whole) * F.lit(probability)
     return (
-        inside.union(repeats).union(between)
-        .groupBy(key, "gap").agg(F.sum("weight").alias("weight"))
+        counted.withColumn("_hit", (reached >= needed) & (F.col("weight") > 0))
+        .groupBy(key)
+        .agg(F.max("_total").alias("rows"),
+             F.try_divide(F.sum(F.col("gap") * F.col("weight")), F.sum("weight")).alias("mean_gap"),
+             F.min(F.when(F.col("_hit"), F.col("gap"))).alias("quantile_gap"))
     )
 
 

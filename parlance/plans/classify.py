@@ -87,11 +87,15 @@ def text_feature_stages(content: str = "content", without_stop_words: bool = Fal
 
 
 def fit_flag_classifier(drawn: DataFrame, max_iter: int = 10, use_scaled: bool = False,
-                        without_stop_words: bool = False, content: str = "content") -> Fitted:
-    """Logistic regression on the drawn messages; everything is fitted on the train part."""
+                        without_stop_words: bool = False, content: str = "content",
+                        partitions: int = 8) -> Fitted:
+    """Logistic regression on the drawn messages; everything is fitted on the train part.
+
+    The draw is a few thousand messages, hence the small number of partitions.
+    """
     stages = text_feature_stages(content, without_stop_words, scale=use_scaled)
     features = "scaled_features" if use_scaled else "features"
-    train = drawn.filter("part = 'train'").persist()
+    train = drawn.filter("part = 'train'").repartition(partitions).persist()
     try:
         model = Pipeline(stages=[
             *stages, LogisticRegression(featuresCol=features, labelCol="label", maxIter=max_iter),
@@ -181,14 +185,16 @@ def regression(width: int, max_iter: int = 100):
     return LogisticRegression(maxIter=max_iter)
 
 
-def fit_label_classifiers(embedded: DataFrame, estimator=network) -> DataFrame:
+def fit_label_classifiers(embedded: DataFrame, estimator=network, partitions: int = 8) -> DataFrame:
     """One classifier per label; its metrics on the test part, one row per label.
 
     ``estimator`` makes an unfitted classifier for a feature width. Labels with a
     single class in the training part cannot be learnt and are left out. All labels
-    are scored in one pass over the test part.
+    are scored in one pass over the test part. The draw is a few thousand rows, which
+    few partitions pass through the iterations fastest.
     """
-    train = embedded.filter("part = 'train'").select("features", *MESSAGE_LABELS).persist()
+    train = embedded.filter("part = 'train'").select("features", *MESSAGE_LABELS)
+    train = train.repartition(partitions).persist()
     scored, learnt = embedded.filter("part = 'test'").select("features", *MESSAGE_LABELS), []
     try:
         seen = train.agg(

@@ -1,5 +1,5 @@
 """Mobile and desktop use."""
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.labels import device_type, indicator
@@ -8,7 +8,7 @@ from ..operators.inference import (
 )
 from ..operators.ranking import restrict_to
 from ..operators.sampling import equal_size_sample
-from ..operators.shares import percent, share_of_total
+from ..operators.shares import percent
 from ..sources.dimensions import with_continent
 
 
@@ -84,11 +84,16 @@ def with_device_percentages(devices: DataFrame) -> DataFrame:
 
 def turns_by_device(devices: DataFrame) -> DataFrame:
     """Mean and deviation of turns, count and share per device, beside the overall mean."""
-    overall = devices.agg(F.avg("turn")).scalar()
-    grouped = devices.groupBy("device_type").agg(
-        F.avg("turn").alias("avg_turns"), F.stddev("turn").alias("std_turns"),
-        F.count("*").alias("count"))
-    return share_of_total(grouped).withColumn("avg_turns_all", overall)
+    everything = Window.partitionBy()  # two or three rows
+    overall = F.sum("_sum").over(everything) / F.sum("_known").over(everything)
+    return (
+        devices.groupBy("device_type").agg(
+            F.avg("turn").alias("avg_turns"), F.stddev("turn").alias("std_turns"),
+            F.count("*").alias("count"), F.sum("turn").alias("_sum"), F.count("turn").alias("_known"))
+        .withColumn("percentage", percent(F.col("count"), F.sum("count").over(everything)))
+        .withColumn("avg_turns_all", overall)
+        .drop("_sum", "_known")
+    )
 
 
 def turn_moments_by_device(devices: DataFrame) -> DataFrame:

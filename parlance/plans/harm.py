@@ -1,5 +1,5 @@
 """Flagged conversations and messages by time, model, category and country."""
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.clock import in_hour_bands
@@ -69,11 +69,12 @@ def harm_by_hour(local: DataFrame) -> DataFrame:
     in the total harm.
     """
     counts = _harm_counts(local, F.col("hour_bin_offseted").alias("hour_bin"))
-    all_harm = counts.agg(F.sum("num_harm")).scalar()
+    # At most 25 rows here: the hours and the unknown one.
+    all_harm = F.sum("num_harm").over(Window.partitionBy())
     return (
-        counts.filter(F.col("hour_bin").isNotNull() & (F.col("num_harm") > 0))
+        counts.withColumn("harm_percentage", percent(F.col("num_harm"), all_harm))
+        .filter(F.col("hour_bin").isNotNull() & (F.col("num_harm") > 0))
         .withColumn("percentage", percent(F.col("num_harm"), F.col("total_harm")))
-        .withColumn("harm_percentage", percent(F.col("num_harm"), all_harm))
         .orderBy("hour_bin")
     )
 

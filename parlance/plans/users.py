@@ -3,10 +3,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.labels import model_family, top_coded
-from ..operators.distributions import (
-    capped_histogram, quantile, quantile_bin_histogram, weighted_lower_quantile,
-)
-from ..operators.ordering import gap_counts
+from ..operators.distributions import capped_histogram, quantile, quantile_bin_histogram
+from ..operators.ordering import gap_statistics
 from ..operators.ranking import restrict_to, top_rows
 from ..operators.shares import percent, share_of_total, share_within
 
@@ -92,7 +90,8 @@ def activity_profile(conversations: DataFrame, user: str = "hashed_ip",
 
     ``avg_conv_per_day`` is NULL for users active on a single calendar day, which
     leaves them outside ``repeat_user`` and outside every percentile cut. One
-    aggregation with map-side combine yields all of it, ``avg_turns`` included.
+    aggregation with map-side combine yields all of it, ``avg_turns`` included. For
+    several analyses of one profile, settle it first (``operators.lineage``).
     """
     return (
         conversations.filter(F.col(user).isNotNull())
@@ -156,16 +155,11 @@ def user_time_gaps(conversations: DataFrame, user: str = "hashed_ip",
     ``repeat_user`` is 1 above ``more_than`` conversations. Gaps are NULL for users
     with fewer than two dated conversations.
     """
-    dated = conversations.filter(F.col(user).isNotNull()).select(
-        user, F.unix_timestamp(timestamp).alias("_at"))
-    # The gaps of a user add up to the distance from first to last.
-    per_user = dated.groupBy(user).agg(
-        F.count("*").alias("conv_count"),
-        F.try_divide(F.max("_at") - F.min("_at"), F.count("_at") - 1).alias("avg_time_gap"))
-    medians = weighted_lower_quantile(
-        gap_counts(dated, user, "_at"), user, "gap", "weight", 0.5, "median_time_gap")
+    dated = conversations.select(user, F.unix_timestamp(timestamp).alias("_at"))
     return (
-        per_user.join(medians, user, "left")
+        gap_statistics(dated, user, "_at", 0.5)
+        .withColumnsRenamed({"rows": "conv_count", "mean_gap": "avg_time_gap",
+                             "quantile_gap": "median_time_gap"})
         .withColumn("repeat_user", F.when(F.col("conv_count") > more_than, 1).otherwise(0))
     )
 
