@@ -5,7 +5,7 @@ from parlance.plans import harm as hm
 from parlance.plans import topics as tp
 from pyspark.sql import functions as F
 
-from .adapters import chat_log, mapped, table, LANGUAGE_NAMES
+from .adapters import CATEGORY_COLUMNS, LANGUAGE_NAMES, MESSAGES, chat_log, mapped, table
 from .base import Check, big, r6
 
 
@@ -17,7 +17,7 @@ def _texts(spark, sf):
 
 def draw_sizes(spark, sf):
     drawn = cl.draw_messages(_texts(spark, sf))
-    return drawn.groupBy("label", "part").agg(
+    return drawn.groupBy(big("label"), "part").agg(
         F.count("*").alias("messages"), F.count_distinct("content").alias("contents")).orderBy("label", "part")
 
 
@@ -87,8 +87,17 @@ def sampled_languages(spark, sf):
     return bernoulli_sample(table(spark, sf, "documents"), 0.5, ["doc_id"]).groupBy("lang").count()
 
 
+_LABELS = " UNION ALL ".join(
+    f"SELECT '{name}' AS drawn_for, least(count(*) FILTER ({CATEGORY_COLUMNS[field]}), 1000) AS count FROM verdicts"
+    for name, field in hm.MESSAGE_LABELS.items())
+
 CHECKS = {
-    "balanced_draw": Check(draw_sizes),
+    "balanced_draw": Check(draw_sizes, """
+WITH n AS (SELECT toxic AS label, least(count(DISTINCT text), 6000) AS n
+  FROM documents JOIN labels USING (doc_id) GROUP BY toxic), s AS (
+  SELECT label, n, least(5000, CAST(floor(n * 5000 / 6000) AS BIGINT)) AS train FROM n), p AS (
+  SELECT label, 'train' AS part, train AS messages FROM s UNION ALL SELECT label, 'test', n - train FROM s)
+SELECT CAST(label AS BIGINT) AS label, part, messages, messages AS contents FROM p WHERE messages > 0"""),
     "flag_classifier": Check(flag_classifier),
     "flag_classifier_scaled": Check(flag_classifier_scaled),
     "flag_classifier_tuned": Check(tuned_classifier),
@@ -97,7 +106,10 @@ CHECKS = {
     "conversation_texts": Check(conversation_texts, """
 SELECT CAST(doc_id AS VARCHAR) AS conversation_hash, md5(replace(text, chr(10), ' ')) AS digest
 FROM documents WHERE lang = 'en'"""),
-    "labelled_draw": Check(labelled_draw),
+    "labelled_draw": Check(labelled_draw, f"""
+WITH {MESSAGES}, c AS (
+  SELECT 'not_toxic' AS drawn_for, least(count(*) FILTER (NOT rude), 1000) AS count FROM verdicts UNION ALL {_LABELS})
+SELECT * FROM c WHERE count > 0"""),
     "label_classifiers": Check(label_classifiers),
     "hash_split": Check(split_sizes),
     "hash_sample": Check(sampled_languages),

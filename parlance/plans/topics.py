@@ -1,9 +1,9 @@
 """Topics of conversation texts."""
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import LDA, LDAModel
-from pyspark.ml.feature import CountVectorizer, RegexTokenizer, StopWordsRemover
+from pyspark.ml.feature import CountVectorizer, CountVectorizerModel, RegexTokenizer, StopWordsRemover
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -74,11 +74,15 @@ def fit_topics(spark: SparkSession, texts: DataFrame, text: str = "full_text", t
     counter = CountVectorizer(inputCol="filtered_words", outputCol="features",
                               vocabSize=vocabulary, minDF=min_documents)
     prepared = Pipeline(stages=[words, remover, counter]).fit(texts)
-    features = prepared.transform(texts)
+    # Terms of equal count come in no fixed order, on which the start of the topics
+    # depends; in alphabetical order the same texts give the same topics.
+    terms = sorted(prepared.stages[-1].vocabulary)
+    counted = CountVectorizerModel.from_vocabulary(terms, "filtered_words", "features")
+    features = PipelineModel(stages=[words, remover, counted]).transform(texts)
     counts = features.select("features").persist()
     try:
         model = LDA(k=topics, maxIter=iterations, featuresCol="features",
                     optimizeDocConcentration=True, seed=seed).fit(counts)
     finally:
         counts.unpersist()
-    return TopicModel(spark, model, prepared.stages[-1].vocabulary, features)
+    return TopicModel(spark, model, terms, features)
