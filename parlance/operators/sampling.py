@@ -28,20 +28,29 @@ def equal_size_sample(df: DataFrame, group: str, groups: list[str], size: int, k
 
 
 def first_by_hash(df: DataFrame, group: str, groups: list[str], size: int, keys,
-                  seed: int = 42) -> DataFrame:
+                  seed: int = 42, distinct: bool = False) -> DataFrame:
     """Exactly ``size`` rows of each listed group (all rows of smaller groups).
 
     Adds ``draw``, the row's number in hash order within its group. The hash first
     thins each group to a little more than ``size`` rows, so the numbering window
-    never sees a large group. ``keys`` must tell the rows of a group apart.
+    never sees a large group. ``keys`` must tell the rows of a group apart; if they do
+    not, ``distinct`` keeps one row of each copy. Copies share a hash, so they are
+    removed after the thinning: the texts of the whole table are never shuffled, only
+    counted by an approximate distinct count, whose error the margin covers.
     """
     slack = size + 8 * math.sqrt(size) + 64
-    rate = _rates(df, group, groups, lambda n: F.lit(slack) / n)
+    if distinct:
+        slack *= 1.5
+        rate = _rates(df, group, groups, lambda n: F.lit(slack) / n, keys)
+    else:
+        rate = _rates(df, group, groups, lambda n: F.lit(slack) / n)
     thinned = (
         df.filter(F.col(group).isin(groups))
         .withColumn("_u", hash_uniform(keys, seed))
         .filter(F.col("_u") < F.try_element_at(rate, F.col(group)))
     )
+    if distinct:
+        thinned = thinned.dropDuplicates([group, *keys])
     w = Window.partitionBy(group).orderBy("_u", *keys)
     return (
         thinned.withColumn("draw", F.row_number().over(w))
@@ -53,12 +62,11 @@ def balanced_split(df: DataFrame, label: str, labels: list, train: int, test: in
                    content: str, seed: int = 42) -> DataFrame:
     """Equal-size training and test draws per label with no content in both.
 
-    Repeated contents are reduced to one row first. A label with fewer than
-    ``train + test`` rows is divided in the same proportion. Adds ``part``: train or
-    test.
+    Repeated contents count as one row. A label with fewer than ``train + test``
+    different contents is divided in the same proportion. Adds ``part``: train or test.
     """
-    distinct = df.filter(F.col(content).isNotNull()).dropDuplicates([content, label])
-    drawn = first_by_hash(distinct, label, labels, train + test, [content], seed)
+    drawn = first_by_hash(
+        df.filter(F.col(content).isNotNull()), label, labels, train + test, [content], seed, distinct=True)
     available = F.count("*").over(Window.partitionBy(label))
     quota = F.least(F.lit(train), F.floor(available * train / (train + test)))
     return drawn.withColumn(
@@ -78,10 +86,15 @@ def hash_split(df: DataFrame, weights: dict[str, float], keys, seed: int = 42) -
     return df.withColumn("part", last if part is None else part.otherwise(last))
 
 
-def _rates(df: DataFrame, group: str, groups: list, rate) -> Column:
+def _rates(df: DataFrame, group: str, groups: list, rate, distinct_keys=None) -> Column:
     """Map from group to sampling rate, as a scalar subquery over one count pass."""
     entries = []
     for g in groups:
-        n = F.count_if(F.col(group) == F.lit(g))
+        member = F.col(group) == F.lit(g)
+        if distinct_keys is None:
+            n = F.count_if(member)
+        else:
+            content = F.xxhash64(*[F.col(k) for k in distinct_keys])
+            n = F.approx_count_distinct(F.when(member, content), 0.02)
         entries += [F.lit(g), F.coalesce(F.try_divide(rate(F.lit(1.0)), n.cast("double")), F.lit(0.0))]
     return df.agg(F.create_map(*entries).alias("rates")).scalar()

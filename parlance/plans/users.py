@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from ..functions.labels import model_family, top_coded
 from ..operators.distributions import capped_histogram, quantile, quantile_bin_histogram
+from ..operators.lineage import settled
 from ..operators.ordering import gap_statistics
 from ..operators.ranking import restrict_to, top_rows
 from ..operators.shares import percent, share_of_total, share_within
@@ -93,14 +94,18 @@ def activity_profile(conversations: DataFrame, user: str = "hashed_ip",
     aggregation with map-side combine yields all of it, ``avg_turns`` included. For
     several analyses of one profile, settle it first (``operators.lineage``).
     """
-    return (
+    return _with_daily_rate(
         conversations.filter(F.col(user).isNotNull())
         .groupBy(user)
         .agg(F.count("*").alias("conv_count"),
              F.min(timestamp).alias("earliest_date"),
              F.max(timestamp).alias("latest_date"),
-             F.avg("turn").alias("avg_turns"))
-        .withColumn("num_days", F.datediff("latest_date", "earliest_date"))
+             F.avg("turn").alias("avg_turns")), per_day)
+
+
+def _with_daily_rate(totals: DataFrame, per_day: float) -> DataFrame:
+    return (
+        totals.withColumn("num_days", F.datediff("latest_date", "earliest_date"))
         .withColumn("avg_conv_per_day", F.try_divide(F.col("conv_count"), F.col("num_days")))
         .withColumn("repeat_user", F.when(F.col("avg_conv_per_day") > per_day, 1).otherwise(0))
     )
@@ -172,17 +177,23 @@ def time_gaps_by_class(gaps: DataFrame) -> DataFrame:
         F.avg("median_time_gap").alias("mean_of_median_gap"))
 
 
-def repeat_share_by_country(conversations: DataFrame, countries: int = 7,
-                            user: str = "hashed_ip") -> DataFrame:
+def repeat_share_by_country(conversations: DataFrame, countries: int = 7, user: str = "hashed_ip",
+                            timestamp: str = "timestamp", per_day: float = 2) -> DataFrame:
     """Conversations of repeat users in the largest countries, percent of the country.
 
-    Everything is derived from counts per (user, country), so the join with the user
-    profile never meets a hot user's rows.
+    Everything is derived from one stored table of counts per (user, country), so the
+    log is read once and the join with the user profile never meets a hot user's rows.
     """
-    cells = conversations.groupBy(user, "country").agg(F.count("*").alias("n"))
+    cells = settled(
+        conversations.groupBy(user, "country")
+        .agg(F.count("*").alias("n"), F.min(timestamp).alias("first"), F.max(timestamp).alias("last")))
     sizes = cells.groupBy("country").agg(F.sum("n").alias("count"))
     largest = top_rows(sizes, countries, ties=["country"])
-    classes = activity_profile(conversations, user).select(user, "repeat_user")
+    profile = _with_daily_rate(
+        cells.filter(F.col(user).isNotNull()).groupBy(user)
+        .agg(F.sum("n").alias("conv_count"), F.min("first").alias("earliest_date"),
+             F.max("last").alias("latest_date")), per_day)
+    classes = profile.select(user, "repeat_user")
     counts = (
         restrict_to(cells, largest, "country")
         .join(classes, user)
@@ -202,8 +213,12 @@ def repeat_share_of_users(profile: DataFrame) -> DataFrame:
 
 def trimmed_repeat_users(conversations: DataFrame, per_day: float = 2,
                          probability: float = 0.9, user: str = "hashed_ip") -> DataFrame:
-    """Repeat users below the given quantile of repeat users' conversations per day."""
-    repeat = activity_profile(conversations, user, per_day=per_day).filter("repeat_user = 1")
+    """Repeat users below the given quantile of repeat users' conversations per day.
+
+    The profile of the repeat users is stored, as the quantile and the result both
+    need it.
+    """
+    repeat = settled(activity_profile(conversations, user, per_day=per_day).filter("repeat_user = 1"))
     cut = repeat.agg(quantile("avg_conv_per_day", probability)).scalar()
     return repeat.filter(F.col("avg_conv_per_day") < cut)
 
