@@ -1,9 +1,12 @@
 """Registered queries on the structure of conversations."""
 from pyspark.sql import functions as F
 
+from parlance.operators.ranking import row_with_first
 from parlance.plans import structure as st
 from parlance.plans import words
-from parlance.sources import combine_corpora, row_count, shared_columns
+from parlance.sources import (
+    combine_corpora, distinct_values, one_per_first_turn, one_per_key, row_count, rows_not_in, shared_columns,
+)
 
 from .adapters import CHATS, MESSAGES, VENDORS, chat_log, table, vendor_log
 from .base import Check, big, r6, sum_big
@@ -97,6 +100,36 @@ def long_conversations(spark, sf):
     return row_count(st.conversations_longer_than(chat_log(spark, sf), 2))
 
 
+def without_copies(spark, sf):
+    texts = table(spark, sf, "documents").select(F.md5("text").alias("digest"), "lang")
+    return one_per_key(texts, ["digest", "lang"])
+
+
+def first_turns(spark, sf):
+    return row_count(one_per_first_turn(chat_log(spark, sf)))
+
+
+def user_only_lines(spark, sf):
+    lines = chat_log(spark, sf).select(F.explode(F.arrays_zip(
+        F.col("conversation.role").alias("role"), F.col("conversation.content").alias("content"))).alias("m"))
+    digests = lines.select("m.role", F.md5("m.content").alias("digest"))
+    return rows_not_in(
+        digests.filter("role = 'user'").select("digest"), digests.filter("role = 'assistant'").select("digest"))
+
+
+def known_pairs(spark, sf):
+    return distinct_values(chat_log(spark, sf), "model", "language")
+
+
+def largest(spark, sf):
+    return st.largest_turn(combined(spark, sf)).select(big("max_turn"))
+
+
+def some_long_conversation(spark, sf):
+    return row_with_first(chat_log(spark, sf), F.size("conversation.role") > 2).select(
+        (F.size("conversation.role") > 2).alias("is_long"))
+
+
 _BOTH = f"""{MESSAGES}, {VENDORS}, both_msgs AS (
   SELECT conversation_hash AS cid, model, role, line, pos FROM msgs
   UNION ALL SELECT conversation_id, model, role, line, pos FROM vendor_msgs)"""
@@ -110,6 +143,17 @@ CHECKS = {
     "word_count": Check(document_words, """
 SELECT word, count(*) AS count FROM (SELECT unnest(string_split(line, ' ')) AS word FROM
   (SELECT unnest(string_split(text, chr(10))) AS line FROM documents)) GROUP BY word"""),
+    "one_per_key": Check(without_copies, "SELECT DISTINCT md5(text) AS digest, lang FROM documents"),
+    "one_per_first_turn": Check(first_turns, "SELECT count(*) AS rows FROM documents"),
+    "rows_not_in": Check(user_only_lines, f"""
+WITH {MESSAGES} SELECT md5(line) AS digest FROM msgs WHERE role = 'user'
+EXCEPT SELECT md5(line) FROM msgs WHERE role = 'assistant'"""),
+    "distinct_values": Check(known_pairs, f"WITH {CHATS} SELECT DISTINCT model, language FROM chats"),
+    "largest_turn": Check(largest, f"""
+WITH {CHATS}, {VENDORS} SELECT max(turn) AS max_turn FROM
+  (SELECT turn FROM chats UNION ALL SELECT turn FROM vendors)"""),
+    "row_with_first": Check(some_long_conversation, f"""
+WITH {CHATS} SELECT true AS is_long FROM chats WHERE len(lines) > 2 LIMIT 1"""),
     "duplicate_ids": Check(repeated_ids, """
 SELECT conv_id, count(*) AS count FROM conversations GROUP BY conv_id HAVING count(*) > 1"""),
     "combined_corpus": Check(combined_corpus, f"""

@@ -32,6 +32,11 @@ def turns_per_conversation(conversations: DataFrame,
     return conversations.groupBy(identifier).agg(F.max(turn).alias("num_turns"))
 
 
+def largest_turn(conversations: DataFrame) -> DataFrame:
+    """Largest turn number of all conversations, one row."""
+    return conversations.agg(F.max("turn").alias("max_turn"))
+
+
 def turn_histogram(spark: SparkSession, turns: DataFrame, bins: int = 30) -> DataFrame:
     """Equal-width histogram of ``num_turns``."""
     return equal_width_histogram(spark, turns, "num_turns", bins)

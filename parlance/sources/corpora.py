@@ -45,3 +45,27 @@ def shared_columns(first: DataFrame, second: DataFrame,
 def row_count(df: DataFrame) -> DataFrame:
     """Number of rows as a one-row frame."""
     return df.agg(F.count("*").alias("rows"))
+
+
+def one_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Some row of each key; copies are dropped before the shuffle where they meet."""
+    return df.dropDuplicates(keys)
+
+
+def one_per_first_turn(conversations: DataFrame) -> DataFrame:
+    """Some conversation of each first turn identifier."""
+    first = F.get("conversation.turn_identifier", F.lit(0))
+    return conversations.withColumn("_first", first).dropDuplicates(["_first"]).drop("_first")
+
+
+def rows_not_in(df: DataFrame, other: DataFrame) -> DataFrame:
+    """Distinct rows of the first frame that the second does not have.
+
+    Copies are dropped on both sides before the rows meet.
+    """
+    return df.distinct().subtract(other.distinct())
+
+
+def distinct_values(df: DataFrame, *columns: str) -> DataFrame:
+    """Distinct combinations of the columns."""
+    return df.select(*columns).distinct()
