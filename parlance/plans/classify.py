@@ -12,6 +12,7 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.lineage import settled
 from ..operators.sampling import (
     balanced_split, bernoulli_sample, first_by_hash, hash_split, hash_uniform,
 )
@@ -62,11 +63,12 @@ def draw_messages(messages: DataFrame, flag: str = "redacted", train: int = 5000
                   content: str = "content", seed: int = 42) -> DataFrame:
     """Balanced training and test messages with a 0/1 label, disjoint in content.
 
-    Messages whose flag is NULL belong to neither class.
+    Messages whose flag is NULL belong to neither class. The draw, a few thousand
+    messages, is stored: fitting and scoring then never go back to the log.
     """
     labelled = messages.filter(F.col(flag).isNotNull()).select(
         content, F.when(F.col(flag), 1).otherwise(0).alias("label"))
-    return balanced_split(labelled, "label", [0, 1], train, test, content, seed)
+    return settled(balanced_split(labelled, "label", [0, 1], train, test, content, seed))
 
 
 def text_feature_stages(content: str = "content", without_stop_words: bool = False,
@@ -150,14 +152,15 @@ def draw_labelled_messages(messages: DataFrame, keys, per_label: int = 1000,
     """Up to ``per_label`` messages of each label, and as many not toxic ones.
 
     A message with several labels may be drawn once for each. ``keys`` identify a
-    message.
+    message. The draw is stored.
     """
     classes = F.array(
         F.when(~F.col("toxic"), F.lit("not_toxic")),
         *[F.when(F.col(name) == 1, F.lit(name)) for name in MESSAGE_LABELS])
     by_class = messages.select("*", F.explode(
         F.filter(classes, lambda c: c.isNotNull())).alias("drawn_for"))
-    return first_by_hash(by_class, "drawn_for", ["not_toxic", *MESSAGE_LABELS], per_label, keys, seed).drop("draw")
+    names = ["not_toxic", *MESSAGE_LABELS]
+    return settled(first_by_hash(by_class, "drawn_for", names, per_label, keys, seed).drop("draw"))
 
 
 def embed_messages(drawn: DataFrame, keys, fraction: float = 0.1, size: int = 100, min_count: int = 5,

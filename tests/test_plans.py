@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from parlance.plans import devices, harm, languages, localtime, structure, users, words
 from parlance.sources import (
-    combine_corpora, read_corpus, read_lines, row_count, shared_columns, with_continent, write_csv, write_parquet,
+    combine_corpora, distinct_values, one_per_first_turn, one_per_key, read_corpus, read_lines, row_count, rows_not_in,
+    shared_columns, with_continent, write_csv, write_parquet,
 )
 
 
@@ -57,6 +58,18 @@ def test_continents_with_overrides(spark):
         [("India", "Asia"), ("Russia", "Europe"), ("Kosovo", "Europe"), ("Narnia", None), (None, None)], key=repr)
 
 
+def test_copies_and_differences(spark):
+    a = spark.createDataFrame([(1, "x"), (1, "x"), (2, "y"), (3, None), (3, None)], "k int, v string")
+    b = spark.createDataFrame([(2, "y"), (4, "z")], "k int, v string")
+    assert rows(rows_not_in(a, b), "k", "v") == sorted([(1, "x"), (3, None)], key=repr)
+    assert rows(one_per_key(a, ["k"]), "k") == [(1,), (2,), (3,)]
+    assert distinct_values(a, "v").count() == 3
+    talks = spark.createDataFrame(
+        [(1, [(7, "u"), (8, "u")]), (2, [(7, "u")]), (3, [(9, "u")]), (4, [])],
+        "id int, conversation array<struct<turn_identifier:bigint,role:string>>")
+    assert one_per_first_turn(talks).count() == 3 and "_first" not in one_per_first_turn(talks).columns
+
+
 # --- structure -------------------------------------------------------------------
 
 MESSAGE = "struct<content:string,role:string,timestamp:string>"
