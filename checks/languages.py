@@ -1,6 +1,5 @@
 """Registered queries on languages."""
 from parlance.plans import languages as lg
-from pyspark.sql import functions as F
 
 from .adapters import CHATS, MESSAGES, VENDORS, chat_log, vendor_log
 from .base import Check, big, r6, sum_big

@@ -7,7 +7,7 @@ from parlance.plans import users as us
 from .adapters import (
     CONTINENTS, ORDERS, USAGE, continents, local_sql, locations, order_log, usage_log,
 )
-from .base import Check, big, known, r6, sum_big
+from .base import Check, big, known, r6
 from .users import PROFILE
 
 LOCAL = f"{USAGE}, {local_sql('usage')}"
@@ -125,7 +125,7 @@ _WEEKDAY = f"""WITH {_CONTINENT}, weekday AS (
 totals AS (SELECT continent, count(*) AS all_days, count(*) FILTER (d BETWEEN 2 AND 6) AS weekdays
   FROM placed GROUP BY continent)"""
 _MONTH = "CAST(year(ts) AS BIGINT) AS year, CAST(month(ts) AS BIGINT) AS month"
-# The reference analysis counts users on the shifted log, whose rows have a country.
+# Users are counted on the shifted log, whose rows have a country.
 _KEPT = f"{PROFILE}, {local_sql('usage')}, mine AS (SELECT * FROM local WHERE hashed_ip IN (SELECT hashed_ip FROM kept))"
 
 CHECKS = {

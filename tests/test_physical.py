@@ -12,7 +12,7 @@ SF = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="module")
 def stored(spark, tmp_path_factory):
-    """The chat log as the reference users have it: nested Parquet."""
+    """The chat log as users store it: nested Parquet."""
     folder = str(tmp_path_factory.mktemp("corpus") / "chats")
     chat_log(spark, SF).write.parquet(folder)
     return spark.read.parquet(folder)
