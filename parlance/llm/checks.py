@@ -1,4 +1,4 @@
 """Registered queries of the operators: name -> (query, SQL or None)."""
-from . import checks_dedup, checks_mix, checks_text
+from . import checks_dedup, checks_mix, checks_pack, checks_text
 
-CHECKS = {**checks_text.CHECKS, **checks_dedup.CHECKS, **checks_mix.CHECKS}
+CHECKS = {**checks_text.CHECKS, **checks_dedup.CHECKS, **checks_mix.CHECKS, **checks_pack.CHECKS}
