@@ -46,8 +46,7 @@ def banding(percent: int, bins: int = BINS) -> tuple[int, int]:
 
 
 def shingle_sets(texts, width: int):
-    """For each text a sorted array of its distinct shingle hashes."""
-    out = [np.zeros(0, np.uint64)] * len(texts)
+    """Yield (index of the text, sorted array of its distinct shingle hashes) in order."""
     hasher = Hasher(lower=True)
     for at, buf, t0, t1 in buffers(texts):
         w0, w1 = runs(~is_space(buf))
@@ -58,13 +57,12 @@ def shingle_sets(texts, width: int):
         cuts = np.searchsorted(owner, np.arange(n + 1))
         words = np.searchsorted(word_of, np.arange(n + 1))
         for i in range(n):
-            if cuts[i + 1] > cuts[i]:
-                out[at[i]] = np.unique(shingle[cuts[i]:cuts[i + 1]])
-            elif words[i + 1] > words[i]:  # fewer words than a shingle: the whole sequence
+            found = np.unique(shingle[cuts[i]:cuts[i + 1]])
+            if not len(found) and words[i + 1] > words[i]:  # fewer words than a shingle: the whole sequence
                 k = words[i + 1] - words[i]
                 whole, _, _ = windows(h[words[i]:words[i + 1]], np.zeros(k, np.int64), k)
-                out[at[i]] = mix(whole + np.uint64(k))
-    return out
+                found = mix(whole + np.uint64(k))
+            yield at[i], found
 
 
 def _probe(bins: int, start: int):
@@ -73,10 +71,15 @@ def _probe(bins: int, start: int):
     return (mix((k * 1_000_003 + a + 7).astype(np.uint64)) % np.uint64(bins)).astype(np.int64)
 
 
-def signature(values, bins: int, probes) -> np.ndarray:
+def bin_edges(bins: int) -> np.ndarray:
+    """Smallest hash of each of equally wide bins."""
+    return (((np.arange(bins, dtype=object) << 64) + bins - 1) // bins).astype(np.uint64)
+
+
+def signature(values, edges, probes) -> np.ndarray:
     """Smallest value of each bin of one permutation, empty bins densified."""
-    edges = ((np.arange(bins, dtype=object) << 64) + bins - 1) // bins
-    first = np.searchsorted(values, edges.astype(np.uint64))
+    bins = len(edges)
+    first = np.searchsorted(values, edges)
     sig = values[np.minimum(first, len(values) - 1)].copy()
     after = np.append(first[1:], len(values))
     full = after > first
@@ -92,28 +95,32 @@ def signature(values, bins: int, probes) -> np.ndarray:
     return sig
 
 
+def _frame(rows, columns):
+    out = pd.DataFrame(rows, columns=columns)
+    out["id"] = out["id"].astype("Int64")
+    return out
+
+
 def _signed(df: DataFrame, id_col: str, text: str, width: int, bands: int, rows: int) -> DataFrame:
     """(id, n, f1, f2, bands): set size, set fingerprint and band values; no bands if empty."""
     bins = bands * rows
 
     def run(batches):
-        probes = _probe(bins, 0)
+        probes, edges = _probe(bins, 0), bin_edges(bins)
         salt = np.arange(1, bands + 1, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)
         for pdf in batches:
-            sizes, f1, f2, keys = [], [], [], []
-            for s in shingle_sets(pdf["t"].tolist(), width):
-                sizes.append(len(s))
-                f1.append(int(np.bitwise_xor.reduce(mix(s)).astype(np.int64)) if len(s) else 0)
-                f2.append(int(mix(s + np.uint64(99)).sum(dtype=np.uint64).astype(np.int64)) if len(s) else 0)
+            ids, out = pdf["id"].tolist(), []
+            for i, s in shingle_sets(pdf["t"].tolist(), width):
                 if not len(s):
-                    keys.append(None)
+                    out.append((ids[i], 0, 0, 0, None))
                     continue
-                sig = mix(signature(s, bins, probes)).reshape(bands, rows)
+                sig = mix(signature(s, edges, probes)).reshape(bands, rows)
                 h = salt.copy()
                 for r in range(rows):
                     h = mix(h + sig[:, r])
-                keys.append(h.astype(np.int64))
-            yield pd.DataFrame({"id": pdf["id"], "n": sizes, "f1": f1, "f2": f2, "bands": keys})
+                out.append((ids[i], len(s), np.bitwise_xor.reduce(mix(s)).astype(np.int64),
+                            mix(s + np.uint64(99)).sum(dtype=np.uint64).astype(np.int64), h.astype(np.int64)))
+            yield _frame(out, ["id", "n", "f1", "f2", "bands"])
 
     return df.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("t")).mapInPandas(
         run, "id long, n long, f1 long, f2 long, bands array<long>")
@@ -122,8 +129,14 @@ def _signed(df: DataFrame, id_col: str, text: str, width: int, bands: int, rows:
 def _sets(df: DataFrame, id_col: str, text: str, width: int) -> DataFrame:
     def run(batches):
         for pdf in batches:
-            sets = [s.astype(np.int64) for s in shingle_sets(pdf["t"].tolist(), width)]
-            yield pd.DataFrame({"id": pdf["id"], "items": sets})
+            ids, out, held = pdf["id"].tolist(), [], 0
+            for i, s in shingle_sets(pdf["t"].tolist(), width):
+                out.append((ids[i], s.astype(np.int64)))
+                held += len(s)
+                if held > 500_000:
+                    yield _frame(out, ["id", "items"])
+                    out, held = [], 0
+            yield _frame(out, ["id", "items"])
 
     return df.select(F.col(id_col).alias("id"), F.col(text).alias("t")).mapInPandas(run, "id long, items array<long>")
 
