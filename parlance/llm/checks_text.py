@@ -2,7 +2,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality
+from . import pii, quality
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -44,4 +44,13 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, CAST
   failed & {quality.policy_mask("base")} <> 0 AS base_failed, failed & {quality.policy_mask("v1")} = 0 AS kept
 FROM ledger"""
 
-CHECKS = {"op8_quality_rules": (quality_rules, QUALITY_SQL)}
+KEY = "pseudonym key of this corpus"
+
+
+def pii_pseudonyms(spark, sf):
+    """Whole documents with personal data replaced by pseudonyms of the same format."""
+    out = pii.pseudonymised(table(spark, sf, "documents").select("doc_id", "text"), KEY)
+    return out.select("doc_id", "text", F.col("pii_.found").alias("found"), F.col("pii_.changed").alias("changed"))
+
+
+CHECKS = {"op1_pii_pseudonyms": (pii_pseudonyms, None), "op8_quality_rules": (quality_rules, QUALITY_SQL)}

@@ -206,6 +206,21 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text", w
                 F.when(F.col("id").isNotNull(), F.coalesce("component", "id")).alias("component_id")))
 
 
+def deduplicated(df: DataFrame, id_col: str = "doc_id", text: str = "text", width: int = 5,
+                 percent: int = 80) -> DataFrame:
+    """One document of each group: the one whose id names the group; NULL ids all stay.
+
+    Where rows repeat an id, one of them stays, that with the smallest text.
+    """
+    groups = stored(near_duplicates(df, id_col, text, width, percent).filter(f"`{id_col}` IS NOT NULL"))
+    kept = groups.filter(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("kept_")).distinct()
+    known, unknown = df.filter(F.col(id_col).isNotNull()), df.filter(F.col(id_col).isNull())
+    if not groups.groupBy(id_col).count().filter("count > 1").isEmpty():
+        row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+        known = known.groupBy(F.col(id_col).alias("k_")).agg(F.min_by(row, F.coalesce(F.col(f"`{text}`"), F.lit(""))).alias("r_")).select("r_.*")
+    return known.join(kept, known[id_col] == F.col("kept_"), "left_semi").union(unknown)
+
+
 def _across(inside: DataFrame, label: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links between components that share a bucket, by an exact prefix-filtered join.
 

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -122,9 +123,9 @@ def measured(df: DataFrame, text: str = "text", keep=()) -> DataFrame:
     NULL and empty texts measure 0 everywhere. Rows are neither merged nor dropped, so
     repeated rows and NULL ids stay. Words are ``[^\\x20\\x09-\\x0D]+``.
     """
-    inner = df.select(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keep)], F.col(text).alias("t"))
-    kept = [f for f in inner.schema.fields if f.name != "t"]
-    schema = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in kept] + [f"{m} long" for m in MEASURES])
+    inner = df.select(*[F.col(f"`{k}`").alias(f"k{i}") for i, k in enumerate(keep)], F.col(f"`{text}`").alias("t"))
+    kept = [f"{f.name} {f.dataType.simpleString()}" for f in inner.schema.fields if f.name != "t"]
+    schema = ", ".join(kept + [f"{m} long" for m in MEASURES])
 
     def run(batches):
         for pdf in batches:
@@ -175,11 +176,17 @@ def ablations(book: DataFrame, version: str = "v1", rules=RULES, policies=POLICI
 
 
 def apply_policy(df: DataFrame, version: str = "v1", text: str = "text") -> DataFrame:
-    """The documents a policy keeps, with all their columns.
+    """The documents a policy keeps, with all their columns, whatever their names."""
+    inner = df.select(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(df.columns)])
+    t = f"k{df.columns.index(text)}"
+    schema = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in inner.schema.fields] + [f"{m} long" for m in MEASURES])
 
-    The measures travel beside the row as one struct, so extra columns may have any name.
-    """
-    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
-    packed = df.select(F.col(text).alias("text"), row.alias("row"))
-    book = ledger(packed, "text", keep=("row",))
-    return book.filter(verdict(version)).select("row.*")
+    def run(batches):
+        for batch in batches:  # Arrow batches, so that values of any type come back unchanged
+            found = _measure(batch.column(t).to_pylist())
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, *[pa.array(found[:, i]) for i in range(len(MEASURES))]],
+                names=[*batch.schema.names, *MEASURES])
+
+    book = inner.mapInArrow(run, schema).withColumn("failed", failed_bits())
+    return book.filter(verdict(version)).select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(df.columns)])
