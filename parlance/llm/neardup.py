@@ -8,22 +8,22 @@ A document is the set of its distinct word shingles. Two documents are linked wh
 2. One permutation hashes a set into ``BINS`` bins, each keeping its smallest value;
    empty bins copy a full bin found by their own probe sequence (optimal
    densification). Bins are joined to bands, a band's value names a bucket.
-3. In each bucket the most connected class is the centre of a star: candidates are
-   (member, centre), one per member and bucket instead of all pairs. A member first
-   tries its best centre only, then the centres of components it is not yet in.
-4. What stars cannot see, links between two members that are not linked to the centre,
-   is searched exactly: classes of buckets that still hold several components are joined
-   on the rarest shingles of their sets (prefix filter), across components only.
-5. Every candidate is confirmed on the full sets.
-
-A pair above the threshold misses all buckets with a probability below ``MISS``; nothing
-else is lost, and no bucket, partner or candidate is capped.
+3. In each bucket the ``CENTRES`` most connected classes are centres of stars: candidates
+   are (member, centre) pairs, so their number grows with the members and not with pairs
+   of members. A member first tries its best centre only; after the first components are
+   known, it tries the other centres of its buckets that lie in other components.
+4. A candidate must share two band values, and is then confirmed on the full sets.
+
+A pair above the threshold shares fewer than two band values with a probability below
+``MISS``. Stars see every pair of a bucket of up to ``CENTRES + 1`` classes. In larger
+buckets a link between two members is seen from one of their common centres: it is lost
+only if neither of the two is a centre in any bucket they share and no centre links to both.
 """
 import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components
@@ -31,16 +31,18 @@ from .store import stored
 from .words import Hasher, buffers, is_space, mix, owners, runs, windows
 
 BINS = 120
-MISS = 1e-5
+MISS = 5e-5
+CENTRES = 6
+SHARED = 2
 _PROBES = 64
 
 
 def banding(percent: int, bins: int = BINS) -> tuple[int, int]:
     """(bands, rows): the longest rows for which a pair at the threshold is still found."""
-    s = percent / 100
     for rows in range(10, 1, -1):
-        bands = bins // rows
-        if (1 - s ** rows) ** bands <= MISS:
+        bands, hit = bins // rows, (percent / 100) ** rows
+        missed = sum(math.comb(bands, k) * hit ** k * (1 - hit) ** (bands - k) for k in range(SHARED))
+        if missed <= MISS:
             return bands, rows
     return bins, 1
 
@@ -151,6 +153,13 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         100 * inter >= percent * (F.size("x") + F.size("y") - inter)).select("a", "b")
 
 
+def _alike(pairs: DataFrame, signs: DataFrame) -> DataFrame:
+    """The pairs (a, b) with enough common band values."""
+    left, right = [signs.select(F.col("rep").alias(c), F.col("bands").alias(f"bands_{c}")) for c in "ab"]
+    return pairs.join(left, "a").join(right, "b").filter(
+        F.size(F.array_intersect("bands_a", "bands_b")) >= SHARED).select("a", "b")
+
+
 def _labelled(rows: DataFrame, label: DataFrame, col: str, out: str) -> DataFrame:
     """Adds the component of ``col``; a class without links is its own component."""
     mapping = label.select(F.col("node").alias(col), F.col("component").alias(out))
@@ -175,28 +184,28 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text", w
     bucket = classes.select("rep", F.explode("bands").alias("key"))
     shared = bucket.groupBy("key").agg(F.count("*").alias("m")).filter("m > 1")
     inside = stored(bucket.join(shared, "key"))
-    # Centre of a bucket: the class with most company over all its buckets.
+    # Centres of a bucket: the classes with most company over all their buckets.
     company = inside.groupBy("rep").agg(F.sum("m").alias("c"))
-    weighed = inside.select("rep", "key").join(company, "rep").select("rep", "key", "c")
-    centre = weighed.groupBy("key").agg(F.max(F.struct("c", (-F.col("rep")).alias("minus"))).alias("top")).select(
-        "key", F.col("top.c").alias("cc"), (-F.col("top.minus")).alias("centre"))
-    stars = stored(inside.select("rep", "key").join(centre, "key").filter("rep <> centre")
-                   .groupBy("rep", "centre").agg(F.max("cc").alias("cc")))
-    involved = stars.select(F.col("rep").alias("id")).union(stars.select("centre")).distinct()
-    whole = df.select(F.col(id_col).cast("long").alias(id_col), text)
-    texts = whole.join(involved.withColumnRenamed("id", id_col), id_col).groupBy(id_col).agg(F.min(text).alias(text))
-    sets = stored(_sets(texts, id_col, text, width))
+    weighed = stored(inside.select("rep", "key").join(company, "rep"))
+    place = F.row_number().over(Window.partitionBy("key").orderBy(F.col("c").desc(), "rep"))
+    centres = stored(weighed.withColumn("place", place).filter(F.col("place") <= CENTRES).select(
+        "key", F.col("rep").alias("centre"), F.col("c").alias("cc"), "place"))
+    involved = company.select(F.col("rep").alias("id_"))
+    whole = df.select(F.col(f"`{id_col}`").cast("long").alias("id_"), F.col(f"`{text}`").alias("t_"))
+    texts = whole.join(involved, "id_").groupBy("id_").agg(F.min("t_").alias("t_"))
+    sets = stored(_sets(texts, "id_", "t_", width))
+    signs = classes.select("rep", "bands")
     # The best centre of each class, then centres in components other than its own.
-    best = stars.groupBy(F.col("rep").alias("a")).agg(F.max(F.struct("cc", (-F.col("centre")).alias("minus"))).alias("top")).select(
+    best = inside.select("rep", "key").join(centres.filter("place = 1"), "key").filter("rep <> centre").groupBy(
+        F.col("rep").alias("a")).agg(F.max(F.struct("cc", (-F.col("centre")).alias("minus"))).alias("top")).select(
         "a", (-F.col("top.minus")).alias("b"))
-    links = stored(_confirmed(best, sets, percent))
+    links = stored(_confirmed(_alike(best, signs), sets, percent))
     label = components(links)
-    rest = _labelled(_labelled(stars, label, "rep", "p"), label, "centre", "q").filter("p <> q")
-    more = stored(_confirmed(rest.select(F.col("rep").alias("a"), F.col("centre").alias("b")), sets, percent))
-    if not more.isEmpty():
-        links = links.union(more)
-        label = components(links)
-    more = stored(_across(inside, label, sets, percent))
+    own = _labelled(inside.select("rep", "key"), label, "rep", "p")
+    others = _labelled(centres.select("key", "centre"), label, "centre", "q")
+    rest = own.join(others, "key").filter("p <> q").select(
+        F.least("rep", "centre").alias("a"), F.greatest("rep", "centre").alias("b")).distinct()
+    more = stored(_confirmed(_alike(rest, signs), sets, percent))
     if not more.isEmpty():
         label = components(links.union(more))
     named = _labelled(classes.select("f1", "f2", "n", "rep"), label, "rep", "component")
@@ -219,29 +228,3 @@ def deduplicated(df: DataFrame, id_col: str = "doc_id", text: str = "text", widt
         row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
         known = known.groupBy(F.col(id_col).alias("k_")).agg(F.min_by(row, F.coalesce(F.col(f"`{text}`"), F.lit(""))).alias("r_")).select("r_.*")
     return known.join(kept, known[id_col] == F.col("kept_"), "left_semi").union(unknown)
-
-
-def _across(inside: DataFrame, label: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links between components that share a bucket, by an exact prefix-filtered join.
-
-    Two sets with the wanted similarity share a shingle among the rarest
-    ``n - ceil(percent/100 * n) + 1`` of each, in one global order by frequency. Sets of
-    a family that differ in their rare shingles therefore never meet.
-    """
-    own = _labelled(inside.select("rep", "key"), label, "rep", "p")
-    mixed = own.groupBy("key").agg(F.min("p").alias("lo"), F.max("p").alias("hi")).filter("lo < hi")
-    open_ = stored(own.join(mixed.select("key"), "key").select("rep", "p").distinct())
-    items = sets.join(open_.withColumnRenamed("rep", "id"), "id").select(
-        "id", "p", F.size("items").alias("n"), F.explode("items").alias("item"))
-    often = items.groupBy("item").agg(F.count("*").alias("df"))
-    ranked = items.join(often.filter("df > 1"), "item", "left").groupBy("id", "p", "n").agg(
-        F.sort_array(F.collect_list(F.struct(F.coalesce("df", F.lit(1)).alias("df"), "item"))).alias("order"))
-    prefix = F.expr(f"n - CAST(ceil({percent} * n / 100.0) AS INT) + 1")
-    heads = stored(
-        ranked.select("id", "p", "n", F.explode(F.slice("order", F.lit(1), prefix)).alias("o"))
-        .filter("o.df > 1").select("id", "p", "n", "o.item"))
-    a = heads.select(F.col("id").alias("a"), F.col("p").alias("pa"), F.col("n").alias("na"), "item")
-    b = heads.select(F.col("id").alias("b"), F.col("p").alias("pb"), F.col("n").alias("nb"), "item")
-    pairs = a.join(b, "item").filter(
-        f"a < b AND pa <> pb AND 100 * least(na, nb) >= {percent} * greatest(na, nb)").select("a", "b").distinct()
-    return _confirmed(pairs, sets, percent)
