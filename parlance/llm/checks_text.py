@@ -2,7 +2,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import pii, quality
+from . import pii, quality, toxicity
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -53,4 +53,10 @@ def pii_pseudonyms(spark, sf):
     return out.select("doc_id", "text", F.col("pii_.found").alias("found"), F.col("pii_.changed").alias("changed"))
 
 
-CHECKS = {"op1_pii_pseudonyms": (pii_pseudonyms, None), "op8_quality_rules": (quality_rules, QUALITY_SQL)}
+def toxicity_scores(spark, sf):
+    """Toxicity of whole documents, learnt from labels outside the held-out fifth."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return toxicity.scored(docs, toxicity.fit(docs, table(spark, sf, "labels")))
+
+
+CHECKS = {"op4_toxicity_scores": (toxicity_scores, None), "op1_pii_pseudonyms": (pii_pseudonyms, None), "op8_quality_rules": (quality_rules, QUALITY_SQL)}
