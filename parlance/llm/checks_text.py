@@ -2,7 +2,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import pii, quality, toxicity
+from . import pii, quality, toxicity, urls
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -59,4 +59,60 @@ def toxicity_scores(spark, sf):
     return toxicity.scored(docs, toxicity.fit(docs, table(spark, sf, "labels")))
 
 
-CHECKS = {"op4_toxicity_scores": (toxicity_scores, None), "op1_pii_pseudonyms": (pii_pseudonyms, None), "op8_quality_rules": (quality_rules, QUALITY_SQL)}
+def list_entries(captures):
+    """Four dated lists over the hosts of the captures: hosts, paths, domains and adverts."""
+    hosts = captures.select(urls.host_of(F.col("url")).alias("h")).filter("h <> ''").distinct()
+    hosts = hosts.withColumn("a", F.conv(F.substring(F.md5("h"), 1, 4), 16, 10).cast("int"))
+    entry = lambda name, pattern, action, since: F.struct(
+        F.lit(name).alias("list"), F.expr(pattern).alias("pattern"), F.lit(action).alias("action"), F.expr(since).alias("since"))
+    day = "date_add(DATE'2023-01-01', {})".format
+    every = [
+        ("a % 3 = 0", entry("hosts", "h", "block", day("a % 200"))),
+        ("a % 3 = 0", entry("hosts", "h", "remove", day("a % 200 + 90 + a % 60"))),
+        ("a % 6 = 0", entry("hosts", "h", "block", day("a % 200 + 300"))),
+        ("a % 2 = 0", entry("paths", "concat(h, '/de')", "block", day("59 + a % 100"))),
+        ("a % 2 = 0", entry("paths", "concat(h, '/de')", "allow", day("259 + a % 100"))),
+        ("a % 5 = 1", entry("domains", "substring_index(h, '.', -3)", "allow", day("150 + a % 50"))),
+        ("h LIKE '%ads-track%'", entry("adverts", "h", "block", day("-31"))),
+    ]
+    picked = F.filter(F.array(*[F.when(F.expr(c), e) for c, e in every]), lambda e: e.isNotNull())
+    return hosts.select(F.explode(picked).alias("e")).select("e.*").distinct()
+
+
+def url_filters(spark, sf):
+    """Every page against dated lists, as of the day it was fetched."""
+    captures = table(spark, sf, "pages").select(
+        "page_id", "url", F.expr("date_add(DATE'2023-01-01', CAST(page_id * 37 % 700 AS INT))").alias("fetched_at"))
+    out = urls.filtered(captures, list_entries(captures))
+    return out.select("page_id", "url", F.col("fetched_at").cast("string").alias("fetched_at"), "verdict", "list", "pattern",
+                      F.col("since").cast("string").alias("since"))
+
+
+URL_SQL = """
+WITH c AS (SELECT page_id, url, DATE '2023-01-01' + CAST(page_id * 37 % 700 AS INT) AS day,
+  lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]*)', 1)) AS h,
+  trim(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1), '/') AS path FROM pages),
+hosts AS (SELECT DISTINCT h, CAST('0x' || substr(md5(h), 1, 4) AS INT) AS a FROM c),
+e AS (
+  SELECT 'hosts' AS list, h AS pattern, 'block' AS action, DATE '2023-01-01' + a % 200 AS since FROM hosts WHERE a % 3 = 0
+  UNION SELECT 'hosts', h, 'remove', DATE '2023-01-01' + (a % 200 + 90 + a % 60) FROM hosts WHERE a % 3 = 0
+  UNION SELECT 'hosts', h, 'block', DATE '2023-01-01' + (a % 200 + 300) FROM hosts WHERE a % 6 = 0
+  UNION SELECT 'paths', h || '/de', 'block', DATE '2023-01-01' + (59 + a % 100) FROM hosts WHERE a % 2 = 0
+  UNION SELECT 'paths', h || '/de', 'allow', DATE '2023-01-01' + (259 + a % 100) FROM hosts WHERE a % 2 = 0
+  UNION SELECT 'domains', array_to_string((string_split(h, '.'))[-3:], '.'), 'allow',
+    DATE '2023-01-01' + (150 + a % 50) FROM hosts WHERE a % 5 = 1
+  UNION SELECT 'adverts', h, 'block', DATE '2022-12-01' FROM hosts WHERE h LIKE '%ads-track%'),
+v AS (SELECT *, lead(since) OVER (PARTITION BY list, pattern ORDER BY since) AS until FROM (
+  SELECT DISTINCT list, pattern, since, action FROM e)),
+p AS (
+  SELECT page_id, day, array_to_string(l[i:], '.') AS pattern, (len(l) - i + 1) * 1000000 AS rank
+  FROM (SELECT page_id, day, l, unnest(range(1, len(l) + 1)) AS i FROM (SELECT *, string_split(h, '.') AS l FROM c))
+  UNION ALL SELECT page_id, day, h || '/' || array_to_string(s[:i], '/'), n * 1000000 + i
+  FROM (SELECT page_id, day, h, s, n, unnest(range(1, len(s) + 1)) AS i FROM (
+    SELECT *, string_split(path, '/') AS s, len(string_split(h, '.')) AS n FROM c))),
+hit AS (SELECT page_id, v.* FROM p JOIN v ON p.pattern = v.pattern AND action <> 'remove' AND since <= day AND (until IS NULL OR day < until)
+  QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY rank DESC, action = 'block' DESC, list DESC) = 1)
+SELECT page_id, url, CAST(day AS VARCHAR) AS fetched_at, coalesce(action, 'none') AS verdict, list, pattern,
+  CAST(since AS VARCHAR) AS since FROM c LEFT JOIN hit USING (page_id)"""
+
+CHECKS = {"op3_url_filters": (url_filters, URL_SQL), "op4_toxicity_scores": (toxicity_scores, None), "op1_pii_pseudonyms": (pii_pseudonyms, None), "op8_quality_rules": (quality_rules, QUALITY_SQL)}
