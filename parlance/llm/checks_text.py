@@ -2,7 +2,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import pii, quality, toxicity, urls
+from . import pii, quality, toxicity, urls, wrappers
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -115,4 +115,9 @@ hit AS (SELECT page_id, v.* FROM p JOIN v ON p.pattern = v.pattern AND action <>
 SELECT page_id, url, CAST(day AS VARCHAR) AS fetched_at, coalesce(action, 'none') AS verdict, list, pattern,
   CAST(since AS VARCHAR) AS since FROM c LEFT JOIN hit USING (page_id)"""
 
-CHECKS = {"op3_url_filters": (url_filters, URL_SQL), "op4_toxicity_scores": (toxicity_scores, None), "op1_pii_pseudonyms": (pii_pseudonyms, None), "op8_quality_rules": (quality_rules, QUALITY_SQL)}
+def html_main_text(spark, sf):
+    """Main text of every page."""
+    return wrappers.extracted(table(spark, sf, "pages")).withColumn("n_chars", F.char_length("text").cast("long"))
+
+
+CHECKS = {"op5_html_main_text": (html_main_text, None), "op3_url_filters": (url_filters, URL_SQL), "op4_toxicity_scores": (toxicity_scores, None), "op1_pii_pseudonyms": (pii_pseudonyms, None), "op8_quality_rules": (quality_rules, QUALITY_SQL)}

@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .store import stored
+from .store import small, stored
 
 CAP = 3
 CELL_ROWS = 1000
@@ -154,11 +154,6 @@ def _thresholds(light: DataFrame, sizes: DataFrame) -> DataFrame:
     return sizes.join(found, same, "left").drop("s", "z")
 
 
-def small(df: DataFrame, rows: int = 200_000) -> DataFrame:
-    """Broadcast ``df`` if it has few rows, all of them short."""
-    return F.broadcast(df) if df.count() <= rows else df
-
-
 def mix(df: DataFrame, id_col: str = "doc_id", source: str = "source", text: str = "text", weights=(1, 2, 3),
         cap: int = CAP, seed: int = 42) -> DataFrame:
     """The rows of ``df`` with ``mix_``: size, source_size, target, rate, copies, taken.
