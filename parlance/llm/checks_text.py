@@ -2,7 +2,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import pii, quality, toxicity, urls, wrappers
+from . import chat, pii, quality, toxicity, urls, wrappers
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -120,4 +120,9 @@ def html_main_text(spark, sf):
     return wrappers.extracted(table(spark, sf, "pages")).withColumn("n_chars", F.char_length("text").cast("long"))
 
 
-CHECKS = {"op5_html_main_text": (html_main_text, None), "op3_url_filters": (url_filters, URL_SQL), "op4_toxicity_scores": (toxicity_scores, None), "op1_pii_pseudonyms": (pii_pseudonyms, None), "op8_quality_rules": (quality_rules, QUALITY_SQL)}
+def chat_repair(spark, sf):
+    """Every conversation repaired to legal turns and rendered."""
+    return chat.formatted(table(spark, sf, "conversations"))
+
+
+CHECKS = {"op10_chat_repair": (chat_repair, None), "op5_html_main_text": (html_main_text, None), "op3_url_filters": (url_filters, URL_SQL), "op4_toxicity_scores": (toxicity_scores, None), "op1_pii_pseudonyms": (pii_pseudonyms, None), "op8_quality_rules": (quality_rules, QUALITY_SQL)}
