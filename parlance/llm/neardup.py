@@ -98,9 +98,7 @@ def signature(values, edges, probes) -> np.ndarray:
 
 
 def _frame(rows, columns):
-    out = pd.DataFrame(rows, columns=columns)
-    out["id"] = out["id"].astype("Int64")
-    return out
+    return pd.DataFrame(rows, columns=columns)
 
 
 def _signed(df: DataFrame, id_col: str, text: str, width: int, bands: int, rows: int) -> DataFrame:
@@ -124,8 +122,9 @@ def _signed(df: DataFrame, id_col: str, text: str, width: int, bands: int, rows:
                             mix(s + np.uint64(99)).sum(dtype=np.uint64).astype(np.int64), h.astype(np.int64)))
             yield _frame(out, ["id", "n", "f1", "f2", "bands"])
 
-    return df.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("t")).mapInPandas(
-        run, "id long, n long, f1 long, f2 long, bands array<long>")
+    # Ids pass Python as strings: longs beside a NULL would become doubles.
+    return df.select(F.col(f"`{id_col}`").cast("string").alias("id"), F.col(f"`{text}`").alias("t")).mapInPandas(
+        run, "id string, n long, f1 long, f2 long, bands array<long>").withColumn("id", F.col("id").cast("long"))
 
 
 def _sets(df: DataFrame, id_col: str, text: str, width: int) -> DataFrame:

@@ -22,7 +22,7 @@ from .tokens import encoder
 
 PART_ROWS = 20_000
 ROUNDS = 6
-PIECE = "row_id {}, piece int, start long, length long, ids_crc32 long"
+PIECE = "row_id string, piece int, start long, length long, ids_crc32 long"
 
 
 def cut(length: int, size: int) -> list[tuple[int, int]]:
@@ -35,9 +35,11 @@ def cut(length: int, size: int) -> list[tuple[int, int]]:
 
 def pieces(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text: str = "text", size: int = 2048,
            end_id: int = 0, with_ids: bool = False) -> DataFrame:
-    """``row_id, piece, start, length, ids_crc32`` and, on demand, ``ids`` of every piece."""
-    kind = df.schema[id_col].dataType.simpleString()
-    schema = PIECE.format(kind) + (", ids array<int>" if with_ids else "")
+    """``row_id, piece, start, length, ids_crc32`` and, on demand, ``ids`` of every piece.
+
+    ``row_id`` is the id as a string, as longs beside a NULL would become doubles in Python.
+    """
+    schema = PIECE + (", ids array<int>" if with_ids else "")
 
     def run(batches):
         encode = encoder(tokenizer)
@@ -55,7 +57,7 @@ def pieces(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text: str = "t
             yield pd.DataFrame(out, columns=columns)
 
     columns = ["row_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids
-    return df.select(F.col(f"`{id_col}`").alias("row_id"), F.col(f"`{text}`").alias("t")).mapInPandas(run, schema)
+    return df.select(F.col(f"`{id_col}`").cast("string").alias("row_id"), F.col(f"`{text}`").alias("t")).mapInPandas(run, schema)
 
 
 def best_fit_decreasing(lengths, size: int):
@@ -99,8 +101,7 @@ def lower_bound(lengths, size: int) -> int:
 
 def _packed(items: DataFrame, parts: int, size: int, round_no: int) -> DataFrame:
     """One round: items with sequence, offset and whether their place is final."""
-    kind = items.schema["row_id"].dataType.simpleString()
-    schema = PIECE.format(kind) + ", sequence_id long, offset long, final boolean, excess long"
+    schema = PIECE + ", sequence_id long, offset long, final boolean, excess long"
 
     def run(batches):
         import pyspark
@@ -161,4 +162,4 @@ def pack(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text: str = "tex
     out = done[0]
     for more in done[1:]:
         out = out.union(more)
-    return out.withColumnRenamed("row_id", id_col)
+    return out.withColumn("row_id", F.col("row_id").cast(df.schema[id_col].dataType)).withColumnRenamed("row_id", id_col)

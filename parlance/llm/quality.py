@@ -7,7 +7,6 @@ policy, or the effect of leaving a rule out, is read from the ledger without the
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -123,16 +122,26 @@ def measured(df: DataFrame, text: str = "text", keep=()) -> DataFrame:
     NULL and empty texts measure 0 everywhere. Rows are neither merged nor dropped, so
     repeated rows and NULL ids stay. Words are ``[^\\x20\\x09-\\x0D]+``.
     """
-    inner = df.select(*[F.col(f"`{k}`").alias(f"k{i}") for i, k in enumerate(keep)], F.col(f"`{text}`").alias("t"))
-    kept = [f"{f.name} {f.dataType.simpleString()}" for f in inner.schema.fields if f.name != "t"]
-    schema = ", ".join(kept + [f"{m} long" for m in MEASURES])
+    return _measured(df, text, list(keep), False)
+
+
+def _measured(df, text, keep, with_text):
+    """``keep`` columns as they are, and the measures of ``text``."""
+    inner = df.select(*[F.col(f"`{k}`").alias(f"k{i}") for i, k in enumerate(keep)],
+                      *([] if with_text else [F.col(f"`{text}`").alias("t")]))
+    t = f"k{keep.index(text)}" if with_text else "t"
+    kept = inner.drop("t").schema.fields
+    schema = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in kept] + [f"{m} long" for m in MEASURES])
+    names = [f.name for f in kept]
 
     def run(batches):
-        for pdf in batches:
-            found = pd.DataFrame(_measure(pdf["t"].tolist()), columns=MEASURES, index=pdf.index)
-            yield pd.concat([pdf.drop(columns="t"), found], axis=1)
+        for batch in batches:  # Arrow batches, so that values of any type come back unchanged
+            found = _measure(batch.column(t).to_pylist())
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(n) for n in names], *[pa.array(found[:, i]) for i in range(len(MEASURES))]],
+                names=[*names, *MEASURES])
 
-    out = inner.mapInPandas(run, schema)
+    out = inner.mapInArrow(run, schema)
     return out.select(*[F.col(f"k{i}").alias(k) for i, k in enumerate(keep)], *MEASURES)
 
 
@@ -177,16 +186,6 @@ def ablations(book: DataFrame, version: str = "v1", rules=RULES, policies=POLICI
 
 def apply_policy(df: DataFrame, version: str = "v1", text: str = "text") -> DataFrame:
     """The documents a policy keeps, with all their columns, whatever their names."""
-    inner = df.select(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(df.columns)])
-    t = f"k{df.columns.index(text)}"
-    schema = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in inner.schema.fields] + [f"{m} long" for m in MEASURES])
-
-    def run(batches):
-        for batch in batches:  # Arrow batches, so that values of any type come back unchanged
-            found = _measure(batch.column(t).to_pylist())
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, *[pa.array(found[:, i]) for i in range(len(MEASURES))]],
-                names=[*batch.schema.names, *MEASURES])
-
-    book = inner.mapInArrow(run, schema).withColumn("failed", failed_bits())
-    return book.filter(verdict(version)).select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(df.columns)])
+    safe = df.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(df.columns)])
+    book = _measured(safe, f"c{df.columns.index(text)}", safe.columns, True).withColumn("failed", failed_bits())
+    return book.filter(verdict(version)).select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(df.columns)])

@@ -180,7 +180,7 @@ def scored(df: DataFrame, model: Model, id_col: str = "doc_id", text: str = "tex
 
     Only the text enters the score. Ids may be NULL or repeated; extra columns are not read.
     """
-    inner = df.select(F.col(f"`{id_col}`").alias("id"), held_out(id_col).alias("held_out"), F.col(f"`{text}`").alias("t"))
+    inner = df.select(F.col(f"`{id_col}`").cast("string").alias("id"), held_out(id_col).alias("held_out"), F.col(f"`{text}`").alias("t"))
 
     def run(batches):
         gains = None if model.weights is None else Gains(model)
@@ -193,6 +193,5 @@ def scored(df: DataFrame, model: Model, id_col: str = "doc_id", text: str = "tex
             yield pd.DataFrame({"id": pdf["id"], "held_out": pdf["held_out"], "score": score,
                                 "predicted": (score >= 0.5).astype(np.int32)})
 
-    kind = inner.schema["id"].dataType.simpleString()
-    out = inner.mapInPandas(run, f"id {kind}, held_out boolean, score double, predicted int")
-    return out.withColumnRenamed("id", id_col)
+    out = inner.mapInPandas(run, "id string, held_out boolean, score double, predicted int")
+    return out.withColumn("id", F.col("id").cast(df.schema[id_col].dataType)).withColumnRenamed("id", id_col)

@@ -247,7 +247,7 @@ def extracted(pages: DataFrame, id_col: str = "page_id", url: str = "url", html:
     columns are not read. Jobs run when called.
     """
     wrappers = stored(induced(pages, url, html)).withColumnRenamed("host", "w_host")
-    rows = pages.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{url}`").alias("u"), F.col(f"`{html}`").alias("html"))
+    rows = pages.select(F.col(f"`{id_col}`").cast("string").alias("id"), F.col(f"`{url}`").alias("u"), F.col(f"`{html}`").alias("html"))
     ready = rows.withColumn("host", F.coalesce(host_of(F.col("u")), F.lit(""))).join(
         small(wrappers), F.col("host") == F.col("w_host"), "left").select("id", "u", "html", "template")
 
@@ -256,6 +256,5 @@ def extracted(pages: DataFrame, id_col: str = "page_id", url: str = "url", html:
             text = [main_text(h, frozenset(t) if t is not None else frozenset()) for h, t in zip(pdf["html"], pdf["template"])]
             yield pd.DataFrame({"id": pdf["id"], "u": pdf["u"], "text": text})
 
-    kind = ready.schema["id"].dataType.simpleString()
-    out = ready.mapInPandas(run, f"id {kind}, u string, text string")
-    return out.withColumnRenamed("id", id_col).withColumnRenamed("u", url)
+    out = ready.mapInPandas(run, "id string, u string, text string")
+    return out.withColumn("id", F.col("id").cast(pages.schema[id_col].dataType)).withColumnRenamed("id", id_col).withColumnRenamed("u", url)
