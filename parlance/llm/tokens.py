@@ -13,7 +13,7 @@ import numpy as np
 
 from .words import Hasher, buffers, is_space, owners
 
-ENTRIES, POOL = 1_000_000, 8_000_000
+ENTRIES, POOL = 400_000, 3_000_000
 
 
 class Encoder:

@@ -8,7 +8,7 @@ agree with a probability of about 2**-60.
 """
 import numpy as np
 
-BUFFER = 1_000_000
+BUFFER = 400_000
 _MULTIPLIER = 0x9E3779B97F4A7C15
 _INVERSE = pow(_MULTIPLIER, -1, 2 ** 64)
 
