@@ -10,8 +10,9 @@ order of the edits in ``EDITS``. The repaired sequence is rendered by a template
 A turn is a step from state to state, so a run of turns is a matrix of cheapest costs
 and runs combine by min-plus products. Conversations are cut into chunks of at most
 ``CHUNK`` turns: one pass makes the matrices, one walks over the few matrices of each
-conversation, and a last one repairs every chunk on its own from its known first and
-last state. So a conversation with a third of all turns is shared by many tasks.
+conversation, and a last one repairs every chunk on its own, given its first state and the
+cost of going on from each last state. So a conversation with a third of all turns is
+shared by many tasks, and the repair does not depend on where it is cut.
 """
 
 import numpy as np
@@ -82,36 +83,27 @@ def chunk_matrix(roles) -> np.ndarray:
     return out
 
 
-def states_between(matrices, ending=ENDING):
-    """States before, between and after the runs of the cheapest way from START to an end."""
-    cost, back = np.array([0] + [_BIG] * (STATES - 1)), []
-    for m in matrices:
-        ways = cost[:, None] + m
-        back.append(ways.argmin(axis=0))
-        cost = np.minimum(ways.min(axis=0), _BIG)
-    total = cost + np.array(ending)
-    state = int(total.argmin())
-    way = [state]
-    for b in reversed(back):
-        way.append(int(b[way[-1]]))
-    return way[::-1], int(total[state])
-
-
-def repaired(roles, first: int, last: int):
-    """One edit per turn, ``(edit, inserted roles, role)``, from state ``first`` to ``last``."""
-    n = len(roles)
-    rest = np.full((n + 1, STATES), _BIG, np.int64)
-    rest[n, last] = 0
-    for i in range(n - 1, -1, -1):
-        rest[i] = np.minimum((STEPS[roles[i]] + rest[i + 1][None, :]).min(axis=1), _BIG)
+def costs_after(matrices, ending=tuple(ENDING)):
+    """Cheapest cost from each state to the end: before the first run, and after every run."""
+    out = [np.array(ending, np.int64)]
+    for m in reversed(matrices):
+        out.append(np.minimum((m + out[-1][None, :]).min(axis=1), _BIG))
+    return out[::-1]
+
+
+def repaired(roles, first: int, after):
+    """(one ``(edit, inserted roles, role, role before)`` per turn, last state) of the
+    cheapest way from ``first``; ``after`` is the cost of going on from each last state.
+    Turn by turn, the first of equally good edits is taken."""
+    rest = costs_after([STEPS[r] for r in roles], after)
     out, state = [], first
     for i, role in enumerate(roles):
         for a, b, cost, edit, inserted, new in MOVES[role]:
-            if a == state and cost + rest[i + 1, b] == rest[i, state]:
+            if a == state and cost + rest[i + 1][b] == rest[i][state]:
                 out.append((edit, inserted, new, NAMES.get(state)))
                 state = b
                 break
-    return out
+    return out, state
 
 
 def known_role(role):
@@ -171,28 +163,48 @@ def formatted(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role:
         return pd.DataFrame({"conv": pdf["conv"].iloc[:1], "chunk": pdf["chunk"].iloc[:1], "n": [len(roles)],
                              "matrix": [chunk_matrix(roles).ravel().tolist()]})
 
-    def walk(pdf):
+    def back(pdf):
         pdf = pdf.sort_values("chunk")
-        way, cost = states_between([np.array(m).reshape(STATES, STATES) for m in pdf["matrix"]])
-        k = len(pdf)
-        return pd.DataFrame({"conv": pdf["conv"], "chunk": pdf["chunk"], "part": range(k), "first": way[:-1],
-                             "last": way[1:], "ends": [False] * (k - 1) + [True], "cost": cost, "n_turns": pdf["n"].sum()})
+        after = costs_after([np.array(m).reshape(STATES, STATES) for m in pdf["matrix"]])
+        return pd.DataFrame({"conv": pdf["conv"], "chunk": pdf["chunk"], "part": range(len(pdf)), "parts": len(pdf),
+                             "after": [a.tolist() for a in after[1:]], "cost": after[0][START], "n_turns": pdf["n"].sum()})
+
+    def through(pdf):
+        roles = [known_role(r) for r in pdf.sort_values("place")["role"]]
+        after = np.array(pdf["after"].iloc[0])
+        return pd.DataFrame({"conv": pdf["conv"].iloc[:1], "chunk": pdf["chunk"].iloc[:1], "part": pdf["part"].iloc[:1],
+                             "to": [[repaired(roles, s, after)[1] for s in range(STATES)]]})
+
+    def forth(pdf):
+        pdf = pdf.sort_values("part")
+        first = [START]
+        for to in pdf["to"]:
+            first.append(int(to[first[-1]]))
+        return pd.DataFrame({"conv": pdf["conv"], "chunk": pdf["chunk"], "first": first[:-1]})
+
+    def beside(rows, found):
+        found = found.withColumnsRenamed({"conv": "w_conv", "chunk": "w_chunk"})
+        return rows.join(found, F.col("conv").eqNullSafe(F.col("w_conv")) & (F.col("chunk") == F.col("w_chunk"))).drop("w_conv", "w_chunk")
 
     chunks = stored(cut.select("conv", "chunk", "place", "role").groupBy("conv", "chunk").applyInPandas(
         matrices, "conv string, chunk long, n long, matrix array<long>"))
     ways = stored(chunks.groupBy("conv").applyInPandas(
-        walk, "conv string, chunk long, part int, first int, last int, ends boolean, cost long, n_turns long"))
-    same = F.col("conv").eqNullSafe(F.col("w_conv")) & (F.col("chunk") == F.col("w_chunk"))
-    ready = cut.join(ways.withColumnsRenamed({"conv": "w_conv", "chunk": "w_chunk"}), same).drop("w_conv", "w_chunk")
+        back, "conv string, chunk long, part int, parts int, after array<long>, cost long, n_turns long"))
+    # Only conversations of several chunks need their states handed on from chunk to chunk.
+    several = ways.filter("parts > 1").select("conv", "chunk", "part", "after")
+    firsts = stored(beside(cut.select("conv", "chunk", "place", "role"), several).groupBy("conv", "chunk").applyInPandas(
+        through, "conv string, chunk long, part int, to array<int>")).groupBy("conv").applyInPandas(
+        forth, "conv string, chunk long, first int")
+    begun = stored(beside(ways.filter("parts > 1"), firsts).union(ways.filter("parts = 1").withColumn("first", F.lit(START))))
+    ready = beside(cut, begun)
 
     def render(pdf):
         pdf = pdf.sort_values("place")
-        first, last, ends = (pdf[c].iloc[0] for c in ("first", "last", "ends"))
+        first, roles = int(pdf["first"].iloc[0]), [known_role(r) for r in pdf["role"]]
+        edits, last = repaired(roles, first, np.array(pdf["after"].iloc[0]))
         out, counts = [], {"merge": 0, "relabel": 0, "insert": 0}
-        opened = bool(first != START)  # the turn of the chunk before may still go on
-        for (edit, inserted, new, before), value, known in zip(
-                repaired([known_role(r) for r in pdf["role"]], int(first), int(last)), pdf["text"],
-                [known_role(r) for r in pdf["role"]]):
+        opened = first != START  # the turn of the chunk before may still go on
+        for (edit, inserted, new, before), value, known in zip(edits, pdf["text"], roles):
             if edit == "merge":
                 counts["merge"] += 1
                 counts["relabel"] += known != before
@@ -204,8 +216,8 @@ def formatted(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role:
                 out.append((TEMPLATE[1] if opened else "") + TEMPLATE[0].format(role=r))
                 opened = True
             out.append(value)
-        if ends:
-            for r in ending_turns(int(last)):
+        if pdf["part"].iloc[0] == pdf["parts"].iloc[0] - 1:
+            for r in ending_turns(last):
                 counts["insert"] += 1
                 out.append(TEMPLATE[1] + TEMPLATE[0].format(role=r))
             out.append(TEMPLATE[1])

@@ -12,6 +12,8 @@ Newton steps are kept inside a bracket and evaluated by Spark over counts per
 Rates are then rounded to copies: the rounding error of a source is carried from size to
 size, and which of equally large documents get one copy more is decided by a hash.
 """
+import math
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -111,8 +113,8 @@ def balanced_rates(counts: DataFrame, targets: DataFrame, cap: int = CAP, tolera
 
 def _whole_copies(rates: DataFrame, cap: int) -> DataFrame:
     """``(source, size, n, rate, base, extra)``: every document of a size gets ``base``
-    copies and ``extra`` of them one more. From large to small sizes, so that what a
-    source misses its target by in the end is less than its smallest documents. A group
+    copies, its rate rounded down, and ``extra`` of them one more. What rounding leaves open
+    is carried from large to small sizes, so that a source comes near its target. A group
     holds one row per different size, so it is bounded by the largest size, not by the
     number of documents.
     """
@@ -121,7 +123,8 @@ def _whole_copies(rates: DataFrame, cap: int) -> DataFrame:
         copies, open_words = [], 0.0
         for size, n, rate in zip(pdf["size"], pdf["n"], pdf["rate"]):
             open_words += size * n * rate
-            c = min(max(round(open_words / size), 0), cap * n)
+            least = min(math.floor(rate + 1e-9), cap) * n
+            c = min(max(round(open_words / size), least), least + n, cap * n)
             open_words -= c * size
             copies.append(c)
         c = pd.Series(copies, index=pdf.index, dtype="int64")
