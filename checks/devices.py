@@ -80,7 +80,7 @@ def test_sampled(spark, sf):
 
 
 def median_interval(spark, sf):
-    return dv.median_turn_difference(spark, used(spark, sf), replicates=2000)
+    return dv.median_turn_difference(spark, used(spark, sf))
 
 
 def normality(spark, sf):

@@ -32,12 +32,12 @@ def turns(spark, sf):
 
 def by_hour(spark, sf):
     return hm.harm_by_hour(local(spark, sf)).select(
-        big("hour_bin"), "num_harm", "total_harm", r6("percentage"), r6("harm_percentage"))
+        big("hour_bin"), "num_harm", "total", r6("percentage"), r6("harm_percentage"))
 
 
 def by_day(spark, sf):
     return hm.harm_by_day_and_hour(local(spark, sf)).select(
-        big("day_of_week"), big("hour_bin"), "num_harm", "total_harm", r6("percentage"))
+        big("day_of_week"), big("hour_bin"), "num_harm", "total", r6("percentage"))
 
 
 def categories_in_hours(canonical):
@@ -72,7 +72,7 @@ def assistant_overall(spark, sf):
 def categories_family(canonical):
     def run(spark, sf):
         return hm.categories_by_family(chat_log(spark, sf), canonical).select(
-            "model_family", "harmful_flag", "num_harm", "total_harm", r6("percentage"))
+            "model_family", "harmful_flag", "num_harm", "total", r6("percentage"))
     return run
 
 
@@ -123,8 +123,8 @@ SELECT harmful_flag, count, round(count * 100.0 / total, 6) AS percentage FROM f
 
 def _by_family(groups):
     return f"""WITH {MESSAGES}, a AS (SELECT * FROM verdicts WHERE role = 'assistant' AND moderated), f AS (
-  {_each(groups, "SELECT model_family, '{key}' AS harmful_flag, count(*) FILTER ({hit}) AS num_harm, count(*) AS total_harm FROM a GROUP BY model_family")})
-SELECT *, round(num_harm * 100.0 / total_harm, 6) AS percentage FROM f WHERE num_harm > 0"""
+  {_each(groups, "SELECT model_family, '{key}' AS harmful_flag, count(*) FILTER ({hit}) AS num_harm, count(*) AS total FROM a GROUP BY model_family")})
+SELECT *, round(num_harm * 100.0 / total, 6) AS percentage FROM f WHERE num_harm > 0"""
 
 
 _ASSISTANT = """count(*) FILTER (role = 'assistant') AS total_model_messages,
@@ -151,12 +151,12 @@ WITH {HARM}, c AS (
 SELECT conversations, round(avg(turn), 6) AS avg_turns, round(stddev_samp(turn), 6) AS std_turns,
   quantile_disc(turn, 0.5) AS median_turns FROM c GROUP BY 1"""),
     "harm_by_hour": Check(by_hour, f"""
-WITH {LOCAL} SELECT h AS hour_bin, count(*) FILTER (is_harmful) AS num_harm, count(*) AS total_harm,
+WITH {LOCAL} SELECT h AS hour_bin, count(*) FILTER (is_harmful) AS num_harm, count(*) AS total,
   round(count(*) FILTER (is_harmful) * 100.0 / count(*), 6) AS percentage,
   round(count(*) FILTER (is_harmful) * 100.0 / (SELECT count(*) FROM local WHERE is_harmful), 6) AS harm_percentage
 FROM local WHERE h IS NOT NULL GROUP BY h HAVING count(*) FILTER (is_harmful) > 0"""),
     "harm_by_day_and_hour": Check(by_day, f"""
-WITH {LOCAL} SELECT d AS day_of_week, h AS hour_bin, count(*) FILTER (is_harmful) AS num_harm, count(*) AS total_harm,
+WITH {LOCAL} SELECT d AS day_of_week, h AS hour_bin, count(*) FILTER (is_harmful) AS num_harm, count(*) AS total,
   round(count(*) FILTER (is_harmful) * 100.0 / count(*), 6) AS percentage
 FROM local WHERE h IS NOT NULL GROUP BY d, h HAVING count(*) FILTER (is_harmful) > 0"""),
     "harm_categories_in_hours": Check(categories_in_hours(False), _in_hours(_RAW)),

@@ -31,9 +31,7 @@ def flag_classifier_scaled(spark, sf):
 
 
 def tuned_classifier(spark, sf):
-    # A small grid; the defaults are the full 3 x 3 x 3 grid with five folds.
-    drawn = cl.draw_messages(_texts(spark, sf))
-    fitted = cl.tune_flag_classifier(drawn, (10,), (0.01, 0.1), (0.0, 0.5), folds=2)
+    fitted = cl.tune_flag_classifier(cl.draw_messages(_texts(spark, sf)))
     best = cl.best_parameters(fitted)
     return fitted.metrics().select(
         "*", F.lit(fitted.area_under_roc()).alias("area_under_roc"),
@@ -47,7 +45,7 @@ def _documents(spark, sf):
 
 def _topics(spark, sf):
     texts = _documents(spark, sf).filter("language = 'English'")
-    return tp.fit_topics(spark, texts, topics=3, iterations=5)
+    return tp.fit_topics(spark, texts)
 
 
 def topic_terms(spark, sf):
@@ -58,6 +56,11 @@ def dominant_topics(spark, sf):
     return _topics(spark, sf).documents().select("doc_id", big("dominant_topic"))
 
 
+def topic_quality(spark, sf):
+    found = _topics(spark, sf).metrics()
+    return spark.createDataFrame([tuple(found.values())], ", ".join(f"{k} double" for k in found))
+
+
 def conversation_texts(spark, sf):
     return tp.full_texts(chat_log(spark, sf)).select("conversation_hash", F.md5("full_text").alias("digest"))
 
@@ -67,9 +70,7 @@ def label_classifiers(spark, sf):
     messages = hm.message_table(chat_log(spark, sf), language=None, keep=["conversation_hash"])
     drawn = cl.draw_labelled_messages(messages, keys)
     # The draw is small at these scales, so all of it is used.
-    return cl.fit_label_classifiers(
-        cl.embed_messages(drawn, keys, fraction=1.0, size=20, min_count=2),
-        lambda width: cl.regression(width, max_iter=10))
+    return cl.fit_label_classifiers(cl.embed_messages(drawn, keys, fraction=1.0))
 
 
 def labelled_draw(spark, sf):
@@ -103,6 +104,7 @@ SELECT CAST(label AS BIGINT) AS label, part, messages, messages AS contents FROM
     "flag_classifier_tuned": Check(tuned_classifier),
     "topic_terms": Check(topic_terms),
     "dominant_topics": Check(dominant_topics),
+    "topic_quality": Check(topic_quality),
     "conversation_texts": Check(conversation_texts, """
 SELECT CAST(doc_id AS VARCHAR) AS conversation_hash, md5(replace(text, chr(10), ' ')) AS digest
 FROM documents WHERE lang = 'en'"""),

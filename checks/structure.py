@@ -89,11 +89,11 @@ def toxicity_index(spark, sf):
     # Copies of one text share an identifier here, so indices above 1 occur.
     chats = chat_log(spark, sf).withColumn(
         "conversation_hash", F.md5(F.concat_ws("\n", F.col("conversation.content"))))
-    return st.toxicity_by_turn_index(chats).select(big("turn_index"), r6("avg_sentiment_score"))
+    return st.toxicity_by_turn_index(chats).select(big("turn_index"), r6("avg_toxicity"))
 
 
 def toxicity_position(spark, sf):
-    return st.toxicity_by_position(chat_log(spark, sf)).select(big("turn_index"), r6("avg_sentiment_score"))
+    return st.toxicity_by_position(chat_log(spark, sf)).select(big("turn_index"), r6("avg_toxicity"))
 
 
 def long_conversations(spark, sf):
@@ -102,11 +102,13 @@ def long_conversations(spark, sf):
 
 def without_copies(spark, sf):
     texts = table(spark, sf, "documents").select(F.md5("text").alias("digest"), "lang")
-    return one_per_key(texts, ["digest", "lang"])
+    return one_per_key(texts, ["digest"])
 
 
 def first_turns(spark, sf):
-    return row_count(one_per_first_turn(chat_log(spark, sf)))
+    # Every conversation twice, so that there are copies to remove.
+    log = chat_log(spark, sf)
+    return row_count(one_per_first_turn(log.union(log)))
 
 
 def user_only_lines(spark, sf):
@@ -143,7 +145,7 @@ CHECKS = {
     "word_count": Check(document_words, """
 SELECT word, count(*) AS count FROM (SELECT unnest(string_split(line, ' ')) AS word FROM
   (SELECT unnest(string_split(text, chr(10))) AS line FROM documents)) GROUP BY word"""),
-    "one_per_key": Check(without_copies, "SELECT DISTINCT md5(text) AS digest, lang FROM documents"),
+    "one_per_key": Check(without_copies, "SELECT md5(text) AS digest, any_value(lang) AS lang FROM documents GROUP BY 1"),
     "one_per_first_turn": Check(first_turns, "SELECT count(*) AS rows FROM documents"),
     "rows_not_in": Check(user_only_lines, f"""
 WITH {MESSAGES} SELECT md5(line) AS digest FROM msgs WHERE role = 'user'
@@ -200,9 +202,9 @@ WITH {CHATS}, {VENDORS} SELECT count(DISTINCT model) AS models FROM
     "toxicity_by_turn_index": Check(toxicity_index, f"""
 WITH {CHATS}, n AS (
   SELECT row_number() OVER (PARTITION BY md5(text) ORDER BY turn) AS i, length(lines[1]) / 1000 AS s FROM chats)
-SELECT CAST(i AS BIGINT) AS turn_index, round(avg(s), 6) AS avg_sentiment_score FROM n GROUP BY i"""),
+SELECT CAST(i AS BIGINT) AS turn_index, round(avg(s), 6) AS avg_toxicity FROM n GROUP BY i"""),
     "toxicity_by_position": Check(toxicity_position, f"""
-WITH {MESSAGES} SELECT CAST(pos + 1 AS BIGINT) AS turn_index, round(avg(length(line) / 1000), 6) AS avg_sentiment_score
+WITH {MESSAGES} SELECT CAST(pos + 1 AS BIGINT) AS turn_index, round(avg(length(line) / 1000), 6) AS avg_toxicity
 FROM msgs GROUP BY pos"""),
     "conversations_longer_than": Check(long_conversations, f"""
 WITH {CHATS} SELECT count(*) AS rows FROM chats WHERE len(lines) > 2"""),

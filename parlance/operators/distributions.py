@@ -3,11 +3,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.labels import bin_index, top_coded
+from .lineage import settled
 from .shares import percent
 
 # Relative error of the quantile sketch is 1 / QUANTILE_ACCURACY; below that many
 # rows it is exact.
 QUANTILE_ACCURACY = 10000
+# Value ranges among which running counts are formed.
+RANGES = 64
 
 
 def quantile(value, probability) -> Column:
@@ -15,6 +18,61 @@ def quantile(value, probability) -> Column:
     return F.percentile_approx(value, probability, QUANTILE_ACCURACY)
 
 
+def with_counts_below(counts: DataFrame, measures: list[str]) -> DataFrame:
+    """Add ``<measure>_below``: the sum of the measure over all smaller values.
+
+    The range limits are a short list of quantiles fetched once, which fixes them for
+    every part of the plan.
+    """
+    cuts = sorted(set(counts.approxQuantile("value", [i / RANGES for i in range(1, RANGES)], 0.005)))
+    limits = F.array(*[F.lit(c) for c in cuts]).cast("array<double>")
+    ranged = counts.withColumn(
+        "_range", F.size(F.filter(limits, lambda c: c < F.col("value"))))
+    inside = (
+        Window.partitionBy("_range").orderBy("value")
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    # One row per range, at most RANGES of them.
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = ranged.groupBy("_range").agg(*[F.sum(m).alias(m) for m in measures]).select(
+        "_range",
+        *[F.coalesce(F.sum(m).over(earlier), F.lit(0)).alias(f"_start_{m}") for m in measures])
+    out = ranged.join(F.broadcast(starts), "_range")
+    for m in measures:
+        out = out.withColumn(
+            f"{m}_below", F.col(f"_start_{m}") + F.coalesce(F.sum(m).over(inside), F.lit(0)))
+    return out.drop("_range", *[f"_start_{m}" for m in measures])
+
+
+def interpolated_quantiles(df: DataFrame, value: str, grid: list[float]) -> Column:
+    """Exact quantiles with linear interpolation, as a scalar subquery of an array.
+
+    Each lies between the values of two neighbouring ranks; these few values are looked
+    up in the running counts, so that no task sees more than one range of values.
+    """
+    counts = settled(
+        df.filter(F.col(value).isNotNull())
+        .groupBy(F.col(value).cast("double").alias("value")).agg(F.count("*").alias("n")))
+    total = counts.agg(F.sum("n").alias("n")).scalar()
+    places = F.array(*[F.lit(p) for p in grid])
+    wanted = F.flatten(F.transform(places, lambda p: F.array(
+        F.floor(p * (F.col("_total") - 1)), F.ceil(p * (F.col("_total") - 1)))))
+    held = F.filter("_wanted", lambda r: (r >= F.col("n_below")) & (r < F.col("n_below") + F.col("n")))
+    found = (
+        with_counts_below(counts, ["n"]).withColumn("_total", total)
+        .withColumn("_wanted", F.array_distinct(wanted))
+        .select("value", "_total", F.explode(held).alias("_rank"))
+        .agg(F.map_from_entries(F.collect_list(F.struct("_rank", "value"))).alias("m"), F.max("_total").alias("n"))
+    )
+
+    def between(p):
+        at = p * (F.col("n") - 1)
+        low, high = [F.try_element_at("m", f(at)) for f in (F.floor, F.ceil)]
+        return low + (at - F.floor(at)) * (high - low)
+
+    return found.select(F.transform(places, between).alias("edges")).scalar()
+
+
 def capped_histogram(df: DataFrame, value: str, ceiling: int, out: str, weight: str,
                      by: list[str] = ()) -> DataFrame:
     """Rows per top-coded value (and group)."""
@@ -62,12 +120,14 @@ def quantile_bin_histogram(df: DataFrame, value: str, bins: int = 10,
                            exact: bool = False) -> DataFrame:
     """Rows per quantile bin with the bin's edges and its percentage.
 
-    Cut points are elements of the data, or interpolated when ``exact``; exact cut
-    points hold all distinct values in one task, so they are for small frames.
+    Cut points are elements of the data, or interpolated when ``exact``; exact ones are
+    read from running counts of the distinct values.
     """
     grid = [i / bins for i in range(bins + 1)]
-    make = F.percentile(value, grid) if exact else quantile(value, grid)
-    edges = df.agg(make.alias("edges")).scalar()
+    if exact:
+        edges = interpolated_quantiles(df, value, grid)
+    else:
+        edges = df.agg(quantile(value, grid).alias("edges")).scalar()
     counts = (
         df.filter(F.col(value).isNotNull())
         .groupBy(bin_index(value, edges, bins).alias("bin")).count()

@@ -15,12 +15,9 @@ from pyspark.sql import types as T
 
 from ..functions.labels import effect_label
 from ..functions.numeric import kolmogorov_tail, normal_cdf
-from .distributions import quantile
+from .distributions import quantile, with_counts_below
 from .lineage import settled
 
-RANGES = 64
-
-
 def two_sample_counts(df: DataFrame, value: str, group: str, first, second,
                       weight: str | None = None) -> DataFrame:
     """(value, n1, n2): how often each value occurs in the two groups.
@@ -39,32 +36,6 @@ def two_sample_counts(df: DataFrame, value: str, group: str, first, second,
     )
 
 
-def with_counts_below(counts: DataFrame, measures: list[str]) -> DataFrame:
-    """Add ``<measure>_below``: the sum of the measure over all smaller values.
-
-    The range limits are a short list of quantiles fetched once, which fixes them for
-    every part of the plan.
-    """
-    cuts = sorted(set(counts.approxQuantile("value", [i / RANGES for i in range(1, RANGES)], 0.005)))
-    limits = F.array(*[F.lit(c) for c in cuts]).cast("array<double>")
-    ranged = counts.withColumn(
-        "_range", F.size(F.filter(limits, lambda c: c < F.col("value"))))
-    inside = (
-        Window.partitionBy("_range").orderBy("value")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    # One row per range, at most RANGES of them.
-    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    starts = ranged.groupBy("_range").agg(*[F.sum(m).alias(m) for m in measures]).select(
-        "_range",
-        *[F.coalesce(F.sum(m).over(earlier), F.lit(0)).alias(f"_start_{m}") for m in measures])
-    out = ranged.join(F.broadcast(starts), "_range")
-    for m in measures:
-        out = out.withColumn(
-            f"{m}_below", F.col(f"_start_{m}") + F.coalesce(F.sum(m).over(inside), F.lit(0)))
-    return out.drop("_range", *[f"_start_{m}" for m in measures])
-
-
 def mann_whitney(df: DataFrame, value: str, group: str, first, second,
                  weight: str | None = None) -> DataFrame:
     """Two-sided Mann-Whitney U test with tie and continuity correction, one row.
@@ -147,11 +118,17 @@ def bootstrap_median_difference(spark: SparkSession, df: DataFrame, value: str,
     steps = parts.select("value", pieces.alias("p")).select("value", "p.*").filter(F.col("n") > 0)
     sizes = counts.agg(F.struct(F.sum("n1").alias("n1"), F.sum("n2").alias("n2")).alias("s")).scalar()
 
-    # Ranks 0..n-1 are cut into RANGES slices; a value is listed in every slice it spans.
+    # The place of a middle order statistic deviates from the middle by sqrt(n) / 2. Ranks
+    # beyond twenty times that do not occur; inside, slices of sqrt(n) / 16 ranks are short
+    # against the spread of the draws, so no slice gathers many draws and many values.
     size = F.when(F.col("part") == 1, sizes["n1"]).otherwise(sizes["n2"])
-    width = F.greatest(F.ceil(size / RANGES), F.lit(1))
-    steps = steps.withColumn("slice", F.explode(F.sequence(
-        F.floor(F.col("below") / width), F.floor((F.col("below") + F.col("n") - 1) / width))))
+    width = F.greatest(F.ceil(F.sqrt(size) / 16), F.lit(1))
+    lowest = F.greatest(F.floor(size / 2 - 10 * F.sqrt(size)), F.lit(0))
+    highest = F.least(F.ceil(size / 2 + 10 * F.sqrt(size)), size - 1)
+    steps = steps.filter((F.col("below") <= highest) & (F.col("below") + F.col("n") > lowest)).withColumn(
+        "slice", F.explode(F.sequence(
+            F.floor(F.greatest(F.col("below"), lowest) / width),
+            F.floor(F.least(F.col("below") + F.col("n") - 1, highest) / width))))
 
     @F.pandas_udf(T.ArrayType(T.DoubleType()))
     def middle_places(replicate: pd.Series, n: pd.Series, part: pd.Series) -> pd.Series:
@@ -172,8 +149,8 @@ def bootstrap_median_difference(spark: SparkSession, df: DataFrame, value: str,
         .withColumn("part", F.explode(F.array(F.lit(1), F.lit(2))))
         .withColumn("size", size).filter(F.col("size") > 0)
         .withColumn("place", F.explode(middle_places("replicate", "size", "part")))
-        .withColumn("rank", F.least(F.floor(F.col("place") * F.col("size")), F.col("size") - 1))
-        .withColumn("slice", F.floor(F.col("rank") / F.greatest(F.ceil(F.col("size") / RANGES), F.lit(1))))
+        .withColumn("rank", F.greatest(lowest, F.least(F.floor(F.col("place") * F.col("size")), highest)))
+        .withColumn("slice", F.floor(F.col("rank") / width))
     )
     medians = (
         draws.join(steps, ["part", "slice"])

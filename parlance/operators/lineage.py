@@ -1,5 +1,6 @@
-"""Computing a small intermediate table once."""
+"""Computing an intermediate table once."""
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame
 
@@ -7,17 +8,19 @@ from pyspark.sql import DataFrame
 def settled(df: DataFrame) -> DataFrame:
     """Compute ``df`` now and continue from the stored result.
 
-    For aggregates that several later steps read: value counts, user profiles. The
-    rows are written to the cluster's shared checkpoint folder, so a lost executor
-    costs nothing but reading them again. ``spark.checkpoint.dir`` names the folder;
-    where it is unset, a local session gets a temporary one and a cluster is refused.
+    For aggregates that several later steps read: value counts, user profiles. The rows
+    are written as Parquet to the folder named by ``spark.checkpoint.dir``, so later steps
+    read only the columns they use and a lost executor costs nothing but reading them
+    again. Whoever owns the folder clears it. Where it is unset, a local session gets a
+    temporary one and a cluster is refused.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="checkpoint-")
-        context.setCheckpointDir(folder)
-    return df.checkpoint()
+    spark = df.sparkSession
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        folder = tempfile.mkdtemp(prefix="settled-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    path = f"{folder.rstrip('/')}/settled-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)

@@ -10,7 +10,10 @@ from pyspark.sql import functions as F
 
 def ordinal_within(df: DataFrame, key: str, position: str, out: str,
                    block_width: int = 1024) -> DataFrame:
-    """Number the rows of each key from 1 by an integer position, unique per key."""
+    """Number the rows of each key from 1 by an integer position, unique per key.
+
+    NULL is a key like any other, and rows without a position come first.
+    """
     block = F.floor(F.col(position) / block_width).alias("_block")
     blocked = df.withColumn("_block", block)
     inside = Window.partitionBy(key, "_block").orderBy(position)
@@ -20,13 +23,14 @@ def ordinal_within(df: DataFrame, key: str, position: str, out: str,
     )
     starts = (
         blocked.groupBy(key, "_block").agg(F.count("*").alias("_n"))
-        .select(key, "_block", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+        .select(F.col(key).alias("_key"), F.col("_block").alias("_at"),
+                F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
     )
     return (
         blocked.withColumn("_inside", F.row_number().over(inside))
-        .join(starts, [key, "_block"])
+        .join(starts, F.col(key).eqNullSafe(F.col("_key")) & F.col("_block").eqNullSafe(F.col("_at")))
         .withColumn(out, F.col("_start") + F.col("_inside"))
-        .drop("_block", "_start", "_inside")
+        .drop("_block", "_start", "_inside", "_key", "_at")
     )
 
 

@@ -88,16 +88,20 @@ def text_feature_stages(content: str = "content", without_stop_words: bool = Fal
     return stages if scale else stages[:-1]
 
 
+def _dealt(rows: DataFrame, partitions: int | None) -> DataFrame:
+    return rows if partitions is None else rows.repartition(partitions)
+
+
 def fit_flag_classifier(drawn: DataFrame, max_iter: int = 10, use_scaled: bool = False,
                         without_stop_words: bool = False, content: str = "content",
-                        partitions: int = 8) -> Fitted:
+                        partitions: int | None = None) -> Fitted:
     """Logistic regression on the drawn messages; everything is fitted on the train part.
 
-    The draw is a few thousand messages, hence the small number of partitions.
+    ``partitions`` deals a small draw to few tasks, which pass it fastest.
     """
     stages = text_feature_stages(content, without_stop_words, scale=use_scaled)
     features = "scaled_features" if use_scaled else "features"
-    train = drawn.filter("part = 'train'").repartition(partitions).persist()
+    train = _dealt(drawn.filter("part = 'train'"), partitions).persist()
     try:
         model = Pipeline(stages=[
             *stages, LogisticRegression(featuresCol=features, labelCol="label", maxIter=max_iter),
@@ -167,14 +171,15 @@ def embed_messages(drawn: DataFrame, keys, fraction: float = 0.1, size: int = 10
                    seed: int = 42) -> DataFrame:
     """Mean word vectors of a sample of drawn messages, split 80/10/10 in ``part``.
 
-    Word2Vec keeps its vocabulary on the driver, which the draw bounds.
+    Word2Vec keeps its vocabulary on the driver, which the draw bounds; one task trains
+    on about 20,000 texts.
     """
     words = drawn.withColumn("content_array", F.split("content", " "))
     clean = StopWordsRemover(inputCol="content_array", outputCol="clean_content").transform(words)
     sampled = bernoulli_sample(clean, fraction, [*keys, "drawn_for"], seed)
     sampled = hash_split(sampled, {"train": 0.8, "validation": 0.1, "test": 0.1}, [*keys, "drawn_for"], seed + 1)
     vectors = Word2Vec(inputCol="clean_content", outputCol="features", vectorSize=size,
-                       minCount=min_count, seed=seed)
+                       minCount=min_count, seed=seed, numPartitions=1 + sampled.count() // 20_000)
     return vectors.fit(sampled).transform(sampled)
 
 
@@ -188,16 +193,16 @@ def regression(width: int, max_iter: int = 100):
     return LogisticRegression(maxIter=max_iter)
 
 
-def fit_label_classifiers(embedded: DataFrame, estimator=network, partitions: int = 8) -> DataFrame:
+def fit_label_classifiers(embedded: DataFrame, estimator=network, partitions: int | None = None) -> DataFrame:
     """One classifier per label; its metrics on the test part, one row per label.
 
     ``estimator`` makes an unfitted classifier for a feature width. Labels with a
     single class in the training part cannot be learnt and are left out. All labels
-    are scored in one pass over the test part. The draw is a few thousand rows, which
-    few partitions pass through the iterations fastest.
+    are scored in one pass over the test part. ``partitions`` deals a small draw to few
+    tasks, which pass the iterations fastest.
     """
     train = embedded.filter("part = 'train'").select("features", *MESSAGE_LABELS)
-    train = train.repartition(partitions).persist()
+    train = _dealt(train, partitions).persist()
     scored, learnt = embedded.filter("part = 'test'").select("features", *MESSAGE_LABELS), []
     try:
         seen = train.agg(

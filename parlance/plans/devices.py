@@ -111,10 +111,11 @@ def turn_normality_table(devices: DataFrame, device: str, points: int = 99) -> D
     return normal_quantile_table(devices.filter(F.col("device_type") == device), "turn", points)
 
 
-def compare_devices(devices: DataFrame, keys, size: int | None = 100_000, seed: int = 42) -> DataFrame:
-    """Mann-Whitney test of turns, desktop against mobile, on equal-size samples.
+def compare_devices(devices: DataFrame, keys=(), size: int | None = None, seed: int = 42) -> DataFrame:
+    """Mann-Whitney test of turns, desktop against mobile.
 
-    ``size=None`` tests all rows; the counted form makes that affordable.
+    All rows are tested, which the counted form makes affordable; ``size`` asks for
+    samples of equal size instead, drawn by the hash of ``keys``.
     """
     if size is not None:
         devices = equal_size_sample(devices, "device_type", ["desktop", "mobile"], size, keys, seed)

@@ -59,7 +59,7 @@ def turns_by_harm(conversations: DataFrame) -> DataFrame:
 
 def _harm_counts(conversations: DataFrame, *keys) -> DataFrame:
     return conversations.groupBy(*keys).agg(
-        F.count_if(is_harmful()).alias("num_harm"), F.count("*").alias("total_harm"))
+        F.count_if(is_harmful()).alias("num_harm"), F.count("*").alias("total"))
 
 
 def harm_by_hour(local: DataFrame) -> DataFrame:
@@ -74,7 +74,7 @@ def harm_by_hour(local: DataFrame) -> DataFrame:
     return (
         counts.withColumn("harm_percentage", percent(F.col("num_harm"), all_harm))
         .filter(F.col("hour_bin").isNotNull() & (F.col("num_harm") > 0))
-        .withColumn("percentage", percent(F.col("num_harm"), F.col("total_harm")))
+        .withColumn("percentage", percent(F.col("num_harm"), F.col("total")))
         .orderBy("hour_bin")
     )
 
@@ -84,7 +84,7 @@ def harm_by_day_and_hour(local: DataFrame) -> DataFrame:
     counts = _harm_counts(local, "day_of_week", F.col("hour_bin_offseted").alias("hour_bin"))
     return (
         counts.filter(F.col("hour_bin").isNotNull() & (F.col("num_harm") > 0))
-        .withColumn("percentage", percent(F.col("num_harm"), F.col("total_harm")))
+        .withColumn("percentage", percent(F.col("num_harm"), F.col("total")))
         .orderBy("day_of_week", "hour_bin")
     )
 
@@ -94,7 +94,6 @@ def harm_by_family(conversations: DataFrame) -> DataFrame:
     return (
         _harm_counts(conversations, model_family().alias("model_family"))
         .filter(F.col("num_harm") > 0)
-        .withColumnRenamed("total_harm", "total")
         .withColumn("percentage", percent(F.col("num_harm"), F.col("total")))
     )
 
@@ -182,13 +181,13 @@ def categories_by_family(conversations: DataFrame, canonical: bool = False) -> D
     groups = key_groups(category_keys(conversations), canonical)
     messages = _assistant_messages(conversations, model_family().alias("model_family"))
     counts = messages.groupBy("model_family").agg(
-        F.count("*").alias("total_harm"),
+        F.count("*").alias("total"),
         *[F.count_if(any_key(F.col("message.categories"), fields)).alias(name)
           for name, fields in groups.items()])
     return (
-        counts.unpivot(["model_family", "total_harm"], _quoted(groups), "harmful_flag", "num_harm")
+        counts.unpivot(["model_family", "total"], _quoted(groups), "harmful_flag", "num_harm")
         .filter(F.col("num_harm") > 0)
-        .withColumn("percentage", percent(F.col("num_harm"), F.col("total_harm")))
+        .withColumn("percentage", percent(F.col("num_harm"), F.col("total")))
         .orderBy("model_family", F.desc("percentage"), "harmful_flag")
     )
 

@@ -11,9 +11,6 @@ from ..functions._columns import fields_of
 from ..operators.distributions import equal_width_histogram
 from ..operators.ordering import expand_ranges, ordinal_within
 
-# Fixed value: message-length curves stop at this turn.
-LAST_TURN = 215
-
 
 def duplicate_ids(conversations: DataFrame, identifier: str) -> DataFrame:
     """Identifiers that occur more than once, with their counts."""
@@ -49,8 +46,9 @@ def conversation_spans(conversations: DataFrame,
     Strings that are not timestamps count as missing. The duration is NULL when no
     message of the conversation has a time.
     """
-    times = F.transform(
-        F.col("conversation.timestamp"), lambda t: F.try_to_timestamp(t.cast("string")))
+    times = F.col("conversation.timestamp")
+    if conversations.select(times).schema[0].dataType.simpleString() == "array<string>":
+        times = F.transform(times, lambda t: F.try_to_timestamp(t))
     per_row = conversations.select(
         identifier, F.array_min(times).alias("_start"), F.array_max(times).alias("_end"),
         F.greatest(F.size("conversation.timestamp"), F.lit(0)).alias("_messages"))
@@ -86,30 +84,33 @@ def _lengths_by_role(conversations: DataFrame, role: str, keep: list[str]) -> Da
     )
 
 
-def user_length_by_turn(conversations: DataFrame, last_turn: int = LAST_TURN) -> DataFrame:
+def _up_to(rows: DataFrame, last_turn: int | None) -> DataFrame:
+    """Rows up to a turn number; all rows if it is None."""
+    return rows if last_turn is None else rows.filter(F.col("turn_number") <= last_turn)
+
+
+def user_length_by_turn(conversations: DataFrame, last_turn: int | None = None) -> DataFrame:
     """Mean user-message length by the message's number among the user's messages."""
     return (
-        _lengths_by_role(conversations, "user", [])
-        .filter(F.col("turn_number") <= last_turn)
+        _up_to(_lengths_by_role(conversations, "user", []), last_turn)
         .groupBy("turn_number").agg(F.avg("content_length").alias("avg_content_length"))
     )
 
 
-def assistant_length_by_turn(conversations: DataFrame, last_turn: int = LAST_TURN) -> DataFrame:
+def assistant_length_by_turn(conversations: DataFrame, last_turn: int | None = None) -> DataFrame:
     """Mean assistant-message length by number among the replies, and model."""
     return (
-        _lengths_by_role(conversations, "assistant", ["model"])
-        .filter(F.col("turn_number") <= last_turn)
+        _up_to(_lengths_by_role(conversations, "assistant", ["model"]), last_turn)
         .groupBy("turn_number", "model").agg(F.avg("content_length").alias("avg_content_length"))
     )
 
 
-def assistant_length_by_position(conversations: DataFrame, last_turn: int = LAST_TURN) -> DataFrame:
+def assistant_length_by_position(conversations: DataFrame, last_turn: int | None = None) -> DataFrame:
     """Mean assistant-message length by position among all messages (from 0), and model."""
     messages = F.posexplode(fields_of("conversation", "role", "content"))
     return (
-        conversations.select("model", messages.alias("turn_number", "m"))
-        .filter((F.col("m.role") == "assistant") & (F.col("turn_number") <= last_turn))
+        _up_to(conversations.select("model", messages.alias("turn_number", "m")), last_turn)
+        .filter(F.col("m.role") == "assistant")
         .groupBy("turn_number", "model")
         .agg(F.avg(F.length("m.content")).alias("avg_content_length"))
     )
@@ -121,7 +122,7 @@ def model_count(conversations: DataFrame) -> DataFrame:
 
 
 def length_by_turn_flat(messages: DataFrame, role: str, key: str, position: str,
-                        content: str, by: list[str] = (), last_turn: int = LAST_TURN) -> DataFrame:
+                        content: str, by: list[str] = (), last_turn: int | None = None) -> DataFrame:
     """``user_length_by_turn`` / ``assistant_length_by_turn`` for a flat message table.
 
     The numbering is safe for a conversation that holds a large part of all messages.
@@ -131,8 +132,7 @@ def length_by_turn_flat(messages: DataFrame, role: str, key: str, position: str,
         .select(key, position, *by, F.length(content).alias("content_length"))
     )
     return (
-        ordinal_within(spoken, key, position, "turn_number")
-        .filter(F.col("turn_number") <= last_turn)
+        _up_to(ordinal_within(spoken, key, position, "turn_number"), last_turn)
         .groupBy("turn_number", *by).agg(F.avg("content_length").alias("avg_content_length"))
     )
 
@@ -143,18 +143,25 @@ def toxicity_by_turn_index(conversations: DataFrame, identifier: str = "conversa
 
     Rows of one id are numbered by turn; equal turns, for which no order is given, by
     score. Copies (same id, turn and score) are counted first and take a range of
-    numbers together, so an id with very many copies is still one row.
+    numbers together, so an id with very many copies is still one row. Scores are ordered
+    inside a turn, and a second window carries the numbers on over one row per turn, so
+    the rows of one id are not sorted in one place.
     """
     score = F.get("detoxify_moderation.toxicity", F.lit(0))
     copies = (
         conversations.select(identifier, F.col(turn).alias("_turn"), score.alias("_score"))
         .groupBy(identifier, "_turn", "_score").agg(F.count("*").alias("_n"))
     )
-    before = (
-        Window.partitionBy(identifier).orderBy("_turn", "_score")
-        .rowsBetween(Window.unboundedPreceding, -1)
+    earlier = (Window.unboundedPreceding, -1)
+    inside = Window.partitionBy(identifier, "_turn").orderBy("_score").rowsBetween(*earlier)
+    before = Window.partitionBy("_id").orderBy("_t").rowsBetween(*earlier)
+    turns = copies.groupBy(F.col(identifier).alias("_id"), F.col("_turn").alias("_t")).agg(F.sum("_n").alias("_sum"))
+    starts = turns.select("_id", "_t", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_turn_start"))
+    numbered = (
+        copies.withColumn("_within", F.coalesce(F.sum("_n").over(inside), F.lit(0)))
+        .join(starts, F.col(identifier).eqNullSafe(F.col("_id")) & F.col("_turn").eqNullSafe(F.col("_t")))
+        .withColumn("_start", F.col("_turn_start") + F.col("_within"))
     )
-    numbered = copies.withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0)))
     single = numbered.filter(F.col("_n") == 1).select(
         (F.col("_start") + 1).alias("turn_index"), "_score")
     repeated = expand_ranges(
@@ -162,7 +169,7 @@ def toxicity_by_turn_index(conversations: DataFrame, identifier: str = "conversa
         "_start", "_n", "turn_index").select("turn_index", "_score")
     return (
         single.union(repeated)
-        .groupBy("turn_index").agg(F.avg("_score").alias("avg_sentiment_score"))
+        .groupBy("turn_index").agg(F.avg("_score").alias("avg_toxicity"))
         .orderBy("turn_index")
     )
 
@@ -173,6 +180,6 @@ def toxicity_by_position(conversations: DataFrame) -> DataFrame:
         conversations
         .select(F.posexplode("detoxify_moderation.toxicity").alias("_at", "_score"))
         .groupBy((F.col("_at") + 1).alias("turn_index"))
-        .agg(F.avg("_score").alias("avg_sentiment_score"))
+        .agg(F.avg("_score").alias("avg_toxicity"))
         .orderBy("turn_index")
     )

@@ -73,16 +73,20 @@ def fit_topics(spark: SparkSession, texts: DataFrame, text: str = "full_text", t
     remover = StopWordsRemover(inputCol="words", outputCol="filtered_words")
     counter = CountVectorizer(inputCol="filtered_words", outputCol="features",
                               vocabSize=vocabulary, minDF=min_documents)
-    prepared = Pipeline(stages=[words, remover, counter]).fit(texts)
+    # The words are read twice, for the vocabulary and for the counts.
+    texts = PipelineModel(stages=[words, remover]).transform(texts).drop("words")
+    texts = texts.persist()
+    prepared = Pipeline(stages=[counter]).fit(texts)
     # Terms of equal count come in no fixed order, on which the start of the topics
     # depends; in alphabetical order the same texts give the same topics.
     terms = sorted(prepared.stages[-1].vocabulary)
     counted = CountVectorizerModel.from_vocabulary(terms, "filtered_words", "features")
-    features = PipelineModel(stages=[words, remover, counted]).transform(texts)
+    features = counted.transform(texts)
     counts = features.select("features").persist()
     try:
         model = LDA(k=topics, maxIter=iterations, featuresCol="features",
                     optimizeDocConcentration=True, seed=seed).fit(counts)
     finally:
         counts.unpersist()
+        texts.unpersist()
     return TopicModel(spark, model, terms, features)

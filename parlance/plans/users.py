@@ -16,7 +16,10 @@ def identity_candidates(conversations: DataFrame, user: str = "hashed_ip") -> Da
     A NULL part counts as a value of its own.
     """
     agent, language = F.col("header.user-agent"), F.col("header.accept-language")
-    return conversations.agg(
+    # Distinct combinations first: counting several things apart multiplies the rows it reads.
+    users = conversations.groupBy(F.col(user), agent.alias("agent"), language.alias("language")).agg(F.lit(1))
+    agent, language = F.col("agent"), F.col("language")
+    return users.agg(
         F.count_distinct(F.struct(user)).alias("by_ip"),
         F.count_distinct(F.struct(F.col(user), agent)).alias("by_ip_and_agent"),
         F.count_distinct(F.struct(F.col(user), language)).alias("by_ip_and_language"))

@@ -52,6 +52,20 @@ def test_ordinal_within_equals_row_number(spark):
     assert {(r.k, r.p): r.n for r in got.collect()} == expected
 
 
+def test_ordinal_within_keeps_null_keys_and_positions(spark):
+    rows = [(None, 1), (None, 2), ("a", 1), ("a", None), ("b", 300)]
+    got = ordering.ordinal_within(spark.createDataFrame(rows, "k string, p long"), "k", "p", "n", 256).collect()
+    assert {(r.k, r.p): r.n for r in got} == {(None, 1): 1, (None, 2): 2, ("a", None): 1, ("a", 1): 2, ("b", 300): 1}
+
+
+def test_interpolated_quantiles(spark):
+    values = [float(v) for v in np.random.default_rng(4).poisson(40, 500)] + [1e6, -3.5]
+    df = spark.createDataFrame([(v,) for v in values] + [(None,)], "v double")
+    grid = [i / 10 for i in range(11)]
+    got = df.limit(1).select(distributions.interpolated_quantiles(df, "v", grid)).first()[0]
+    assert got == pytest.approx(list(np.quantile(values, grid)))
+
+
 def test_expand_ranges(spark):
     df = spark.createDataFrame([(0, 5, "a"), (10, 1, "b"), (3, 12, "c")], "start long, n long, v string")
     got = sorted((r.v, r.i) for r in ordering.expand_ranges(df, "start", "n", "i", chunk=4).collect())

@@ -126,9 +126,9 @@ def test_toxicity_by_turn_index_numbers_copies(spark):
     df = spark.createDataFrame(
         [("a", 1, [(0.2,)])] * 3 + [("a", 2, [(0.8,)]), ("b", 1, [(0.4,), (0.9,)]), ("c", 1, []), ("d", 1, None)],
         f"conversation_hash string, turn int, detoxify_moderation {one}")
-    got = {r.turn_index: r.avg_sentiment_score for r in structure.toxicity_by_turn_index(df).collect()}
+    got = {r.turn_index: r.avg_toxicity for r in structure.toxicity_by_turn_index(df).collect()}
     assert got == {1: pytest.approx(0.3), 2: pytest.approx(0.2), 3: pytest.approx(0.2), 4: pytest.approx(0.8)}
-    by_position = {r.turn_index: r.avg_sentiment_score for r in structure.toxicity_by_position(df).collect()}
+    by_position = {r.turn_index: r.avg_toxicity for r in structure.toxicity_by_position(df).collect()}
     assert by_position == {1: pytest.approx((0.2 * 3 + 0.8 + 0.4) / 5), 2: 0.9}
 
 
@@ -296,7 +296,7 @@ def test_turns_by_harm(judged):
 
 def test_harm_by_time(judged):
     hours = harm.harm_by_hour(judged)
-    assert rows(hours, "hour_bin", "num_harm", "total_harm", "percentage") == [(21, 1, 2, 50.0), (3, 1, 1, 100.0)]
+    assert rows(hours, "hour_bin", "num_harm", "total", "percentage") == [(21, 1, 2, 50.0), (3, 1, 1, 100.0)]
     assert rows(hours, "harm_percentage") == [(pytest.approx(100 / 3),)] * 2
     assert rows(harm.harm_by_day_and_hour(judged), "day_of_week", "hour_bin", "percentage") == [(2, 21, 50.0), (2, 3, 100.0)]
 
@@ -308,7 +308,7 @@ def test_categories(judged):
     merged = harm.categories_in_hours(judged, canonical=True)
     assert rows(merged, "harmful_flag", "count") == [("sexual", 1), ("violence", 2), ("violence_graphic", 2)]
     families = harm.categories_by_family(judged)
-    assert rows(families, "model_family", "harmful_flag", "num_harm", "total_harm") == [
+    assert rows(families, "model_family", "harmful_flag", "num_harm", "total") == [
         ("GPT-3.5", "violence", 1, 2), ("GPT-3.5", "violence/graphic", 1, 2), ("GPT-3.5", "violence_graphic", 1, 2),
         ("GPT-4", "sexual", 1, 2)]
 
