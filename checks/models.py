@@ -69,8 +69,9 @@ def label_classifiers(spark, sf):
     keys = ["conversation_hash", "position"]
     messages = hm.message_table(chat_log(spark, sf), language=None, keep=["conversation_hash"])
     drawn = cl.draw_labelled_messages(messages, keys)
-    # The draw is small at these scales, so all of it is used.
-    return cl.fit_label_classifiers(cl.embed_messages(drawn, keys, fraction=1.0))
+    # The draw is small at these scales, so all of it is used. The network needs minutes
+    # per table whatever its size; the linear classifier stands for it here.
+    return cl.fit_label_classifiers(cl.embed_messages(drawn, keys, fraction=1.0), cl.regression, partitions=8)
 
 
 def labelled_draw(spark, sf):
