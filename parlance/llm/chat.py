@@ -118,32 +118,41 @@ def ending_turns(last: int):
 
 
 def chunked(turns: DataFrame, conv: str, turn: str, role: str, text: str) -> DataFrame:
-    """``(conv, chunk, place, role, text)``: turns in order, cut into chunks of ``CHUNK``.
+    """``(conv, chunk, roles, texts)``: turns in order, one row per chunk of at most ``CHUNK``.
 
     Order is turn (NULL first), then role and text. Rows are dealt to partitions by range of
     that order, so that a long conversation spans several; where a partition begins, so
-    does a chunk.
+    does a chunk. A task holds one chunk at a time.
     """
     rows = turns.select(F.col(f"`{conv}`").cast("string").alias("conv"), F.col(f"`{turn}`").alias("turn"),
                         F.col(f"`{role}`").alias("role"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     order = [F.col("conv").asc_nulls_first(), F.col("turn").asc_nulls_first(), F.col("role").asc_nulls_first(), "text"]
+    longest = CHUNK
 
-    def number(batches):
+    def cut(batches):
         import pyspark
-        part = pyspark.TaskContext.get().partitionId()
-        now, count = object(), 0
+        number = pyspark.TaskContext.get().partitionId() << 32
+        now, roles, texts = object(), [], []
         for pdf in batches:
-            chunk, place = [], []
-            for c in pdf["conv"]:
-                if c != now:
-                    now, count = c, 0
-                chunk.append((part << 32) + count // CHUNK)
-                place.append(count % CHUNK)
-                count += 1
-            yield pd.DataFrame({"conv": pdf["conv"], "chunk": chunk, "place": place, "role": pdf["role"], "text": pdf["text"]})
+            out = []
+            for c, r, t in zip(pdf["conv"].tolist(), pdf["role"].tolist(), pdf["text"].tolist()):
+                if c != now or len(roles) == longest:
+                    if roles:
+                        out.append((now, number, roles, texts))
+                        number += 1
+                    now, roles, texts = c, [], []
+                roles.append(known_role(r) or "")
+                texts.append(t)
+            yield pd.DataFrame(out, columns=["conv", "chunk", "roles", "texts"])
+        if roles:
+            yield pd.DataFrame([(now, number, roles, texts)], columns=["conv", "chunk", "roles", "texts"])
 
     return rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInPandas(
-        number, "conv string, chunk long, place int, role string, text string")
+        cut, "conv string, chunk long, roles array<string>, texts array<string>")
+
+
+def _roles(values):
+    return [r or None for r in values]
 
 
 def formatted(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role",
@@ -156,78 +165,88 @@ def formatted(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role:
     relabel, a NULL conversation is one of its own, repeated rows are turns of their own
     (equal neighbours merge). Extra columns are not read. An empty table gives an empty one.
     """
-    cut = stored(chunked(turns, conv, turn, role, text))
-
-    def matrices(pdf):
-        roles = [known_role(r) for r in pdf.sort_values("place")["role"]]
-        return pd.DataFrame({"conv": pdf["conv"].iloc[:1], "chunk": pdf["chunk"].iloc[:1], "n": [len(roles)],
-                             "matrix": [chunk_matrix(roles).ravel().tolist()]})
+    chunks = stored(chunked(turns, conv, turn, role, text))
+    # Only conversations of several chunks hand costs and states on from chunk to chunk.
+    long = stored(chunks.groupBy("conv").agg(F.count("*").alias("parts")).filter("parts > 1"))
+    beside = lambda rows, names, how: rows.join(
+        names.withColumnRenamed("conv", "l_conv"), F.col("conv").eqNullSafe(F.col("l_conv")), how)
+    several = beside(chunks, long, "left_semi")
+    alone = beside(chunks, long, "left_anti").withColumns({
+        "part": F.lit(0), "parts": F.lit(1), "first": F.lit(START), "after": F.array(*[F.lit(c) for c in ENDING]).cast("array<long>")})
+
+    def matrices(batches):
+        for pdf in batches:
+            yield pd.DataFrame({"conv": pdf["conv"], "chunk": pdf["chunk"],
+                                "matrix": [chunk_matrix(_roles(r)).ravel().tolist() for r in pdf["roles"]]})
 
     def back(pdf):
         pdf = pdf.sort_values("chunk")
         after = costs_after([np.array(m).reshape(STATES, STATES) for m in pdf["matrix"]])
-        return pd.DataFrame({"conv": pdf["conv"], "chunk": pdf["chunk"], "part": range(len(pdf)), "parts": len(pdf),
-                             "after": [a.tolist() for a in after[1:]], "cost": after[0][START], "n_turns": pdf["n"].sum()})
+        return pd.DataFrame({"chunk": pdf["chunk"], "part": range(len(pdf)), "parts": len(pdf),
+                             "after": [a.tolist() for a in after[1:]]})
 
-    def through(pdf):
-        roles = [known_role(r) for r in pdf.sort_values("place")["role"]]
-        after = np.array(pdf["after"].iloc[0])
-        return pd.DataFrame({"conv": pdf["conv"].iloc[:1], "chunk": pdf["chunk"].iloc[:1], "part": pdf["part"].iloc[:1],
-                             "to": [[repaired(roles, s, after)[1] for s in range(STATES)]]})
+    def through(batches):
+        for pdf in batches:
+            yield pd.DataFrame({"conv": pdf["conv"], "chunk": pdf["chunk"], "to": [
+                [repaired(_roles(r), s, np.array(a))[1] for s in range(STATES)] for r, a in zip(pdf["roles"], pdf["after"])]})
 
     def forth(pdf):
-        pdf = pdf.sort_values("part")
+        pdf = pdf.sort_values("chunk")
         first = [START]
         for to in pdf["to"]:
             first.append(int(to[first[-1]]))
-        return pd.DataFrame({"conv": pdf["conv"], "chunk": pdf["chunk"], "first": first[:-1]})
-
-    def beside(rows, found):
-        found = found.withColumnsRenamed({"conv": "w_conv", "chunk": "w_chunk"})
-        return rows.join(found, F.col("conv").eqNullSafe(F.col("w_conv")) & (F.col("chunk") == F.col("w_chunk"))).drop("w_conv", "w_chunk")
-
-    chunks = stored(cut.select("conv", "chunk", "place", "role").groupBy("conv", "chunk").applyInPandas(
-        matrices, "conv string, chunk long, n long, matrix array<long>"))
-    ways = stored(chunks.groupBy("conv").applyInPandas(
-        back, "conv string, chunk long, part int, parts int, after array<long>, cost long, n_turns long"))
-    # Only conversations of several chunks need their states handed on from chunk to chunk.
-    several = ways.filter("parts > 1").select("conv", "chunk", "part", "after")
-    firsts = stored(beside(cut.select("conv", "chunk", "place", "role"), several).groupBy("conv", "chunk").applyInPandas(
-        through, "conv string, chunk long, part int, to array<int>")).groupBy("conv").applyInPandas(
-        forth, "conv string, chunk long, first int")
-    begun = stored(beside(ways.filter("parts > 1"), firsts).union(ways.filter("parts = 1").withColumn("first", F.lit(START))))
-    ready = beside(cut, begun)
-
-    def render(pdf):
-        pdf = pdf.sort_values("place")
-        first, roles = int(pdf["first"].iloc[0]), [known_role(r) for r in pdf["role"]]
-        edits, last = repaired(roles, first, np.array(pdf["after"].iloc[0]))
-        out, counts = [], {"merge": 0, "relabel": 0, "insert": 0}
-        opened = first != START  # the turn of the chunk before may still go on
-        for (edit, inserted, new, before), value, known in zip(edits, pdf["text"], roles):
-            if edit == "merge":
-                counts["merge"] += 1
-                counts["relabel"] += known != before
-                out.append("\n" + value)
-                continue
-            counts["insert"] += len(inserted)
-            counts["relabel"] += known != new
-            for r in (*inserted, new):
-                out.append((TEMPLATE[1] if opened else "") + TEMPLATE[0].format(role=r))
-                opened = True
-            out.append(value)
-        if pdf["part"].iloc[0] == pdf["parts"].iloc[0] - 1:
-            for r in ending_turns(last):
-                counts["insert"] += 1
-                out.append(TEMPLATE[1] + TEMPLATE[0].format(role=r))
-            out.append(TEMPLATE[1])
-        return pd.DataFrame({"conv": pdf["conv"].iloc[:1], "part": pdf["part"].iloc[:1], "n_turns": pdf["n_turns"].iloc[:1],
-                             "cost": pdf["cost"].iloc[:1], "merged": [counts["merge"]], "relabelled": [counts["relabel"]],
-                             "inserted": [counts["insert"]], "rendered": ["".join(out)]})
-
-    parts = stored(ready.groupBy("conv", "chunk").applyInPandas(
-        render, "conv string, part int, n_turns long, cost long, merged long, relabelled long, inserted long, rendered string"))
-    sums = parts.groupBy("conv").agg(F.sum("merged").alias("n_merged"), F.sum("relabelled").alias("n_relabelled"),
-                                     F.sum("inserted").alias("n_inserted")).withColumnRenamed("conv", "s_conv")
-    return parts.join(sums, F.col("conv").eqNullSafe(F.col("s_conv"))).select(
-        F.col("conv").cast(turns.schema[conv].dataType).alias(conv), "n_turns", "cost", "n_merged", "n_relabelled", "n_inserted", "part", "rendered")
+        return pd.DataFrame({"chunk": pdf["chunk"], "first": first[:-1]})
+
+    # Chunk numbers are unique in the whole table, so joins need no conversation.
+    ways = stored(several.select("conv", "chunk", "roles").mapInPandas(
+        matrices, "conv string, chunk long, matrix array<long>").groupBy("conv").applyInPandas(
+        back, "chunk long, part int, parts int, after array<long>"))
+    firsts = stored(several.select("conv", "chunk", "roles").join(ways, "chunk").mapInPandas(
+        through, "conv string, chunk long, to array<int>").groupBy("conv").applyInPandas(forth, "chunk long, first int"))
+    begun = several.join(ways.join(firsts, "chunk"), "chunk").select(*alone.columns)
+
+    def render(batches):
+        for pdf in batches:
+            out = [_rendered(*row) for row in zip(pdf["roles"], pdf["texts"], pdf["first"], pdf["after"],
+                                                  pdf["part"] == pdf["parts"] - 1)]
+            yield pd.concat([pdf[["conv", "part"]], pd.DataFrame(
+                out, columns=["n", "paid", "merged", "relabelled", "inserted", "rendered"], index=pdf.index)], axis=1)
+
+    shape = "conv string, part int, n long, paid long, merged long, relabelled long, inserted long, rendered string"
+    one = alone.mapInPandas(render, shape)
+    many = stored(begun.mapInPandas(render, shape))
+    counts = ["n", "paid", "merged", "relabelled", "inserted"]
+    sums = many.groupBy("conv").agg(*[F.sum(c).alias(f"s_{c}") for c in counts]).withColumnRenamed("conv", "s_conv")
+    summed = many.join(sums, F.col("conv").eqNullSafe(F.col("s_conv"))).select(
+        "conv", "part", *[F.col(f"s_{c}").alias(c) for c in counts], "rendered")
+    return one.union(summed).select(
+        F.col("conv").cast(turns.schema[conv].dataType).alias(conv), F.col("n").alias("n_turns"), F.col("paid").alias("cost"),
+        F.col("merged").alias("n_merged"), F.col("relabelled").alias("n_relabelled"), F.col("inserted").alias("n_inserted"),
+        "part", "rendered")
+
+
+def _rendered(roles, texts, first, after, ends):
+    """(turns, cost, merges, relabels, insertions, text) of one chunk."""
+    roles, first = _roles(roles), int(first)
+    edits, last = repaired(roles, first, np.array(after))
+    out, merged, relabelled, inserted = [], 0, 0, 0
+    opened = first != START  # the turn of the chunk before may still go on
+    for (edit, added, new, before), value, known in zip(edits, texts, roles):
+        if edit == "merge":
+            merged += 1
+            relabelled += known != before
+            out.append("\n" + value)
+            continue
+        inserted += len(added)
+        relabelled += known != new
+        for r in (*added, new):
+            out.append((TEMPLATE[1] if opened else "") + TEMPLATE[0].format(role=r))
+            opened = True
+        out.append(value)
+    if ends:
+        for r in ending_turns(last):
+            inserted += 1
+            out.append(TEMPLATE[1] + TEMPLATE[0].format(role=r))
+        out.append(TEMPLATE[1])
+    paid = COSTS["merge"] * merged + COSTS["relabel"] * relabelled + COSTS["insert"] * inserted
+    return len(roles), paid, merged, relabelled, inserted, "".join(out)
