@@ -12,12 +12,13 @@ A document is the set of its distinct word shingles. Two documents are linked wh
    are (member, centre) pairs, so their number grows with the members and not with pairs
    of members. A member first tries its best centre only; after the first components are
    known, it tries the other centres of its buckets that lie in other components.
-4. A candidate must share two band values, and is then confirmed on the full sets.
+4. Stars see every pair of a bucket of up to ``CENTRES + 1`` classes. In larger buckets
+   pairs without a centre, in different components still, are searched exactly: their
+   classes are joined on the rarest shingles of their sets (prefix and position filter).
+5. A candidate must share two band values, and is then confirmed on the full sets.
 
 A pair above the threshold shares fewer than two band values with a probability below
-``MISS``. Stars see every pair of a bucket of up to ``CENTRES + 1`` classes. In larger
-buckets a link between two members is seen from one of their common centres: it is lost
-only if neither of the two is a centre in any bucket they share and no centre links to both.
+``MISS``; nothing else is lost, and no bucket, partner or candidate is capped.
 """
 import math
 
@@ -31,7 +32,7 @@ from .store import stored
 from .words import Hasher, buffers, is_space, mix, owners, runs, windows
 
 BINS = 120
-MISS = 5e-5
+MISS = 1e-5
 CENTRES = 6
 SHARED = 2
 _PROBES = 64
@@ -159,6 +160,32 @@ def _alike(pairs: DataFrame, signs: DataFrame) -> DataFrame:
         F.size(F.array_intersect("bands_a", "bands_b")) >= SHARED).select("a", "b")
 
 
+def _across(inside: DataFrame, centres: DataFrame, label: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of different components that no star has seen, by a prefix join.
+
+    Two similar sets share a shingle among the rarest ``n - ceil(percent/100 * n) + 1`` of
+    each, in one global order by frequency, and its places in both leave room for the
+    wanted intersection. Sets of a family that differ in their rare shingles never meet.
+    """
+    members = inside.filter(F.col("m") > CENTRES + 1).select("rep", "key").join(
+        centres.select("key", F.col("centre").alias("rep")), ["key", "rep"], "left_anti")
+    own = stored(_labelled(members, label, "rep", "p"))
+    mixed = own.groupBy("key").agg(F.min("p").alias("lo"), F.max("p").alias("hi")).filter("lo < hi")
+    unseen = stored(own.join(mixed.select("key"), "key").groupBy("rep", "p").agg(F.count("*").alias("k"))
+                    .filter(F.col("k") >= SHARED).select(F.col("rep").alias("id"), "p"))
+    items = sets.join(unseen, "id").select("id", "p", F.size("items").alias("n"), F.explode("items").alias("item"))
+    often = items.groupBy("item").agg(F.count("*").alias("df")).filter("df > 1")
+    order = items.join(often, "item", "left").groupBy("id", "p", "n").agg(
+        F.sort_array(F.collect_list(F.struct(F.coalesce("df", F.lit(1)).alias("df"), "item"))).alias("order"))
+    prefix = F.expr(f"n - CAST(ceil({percent} * n / 100.0) AS INT) + 1")
+    heads = stored(order.select("id", "p", "n", F.posexplode(F.slice("order", F.lit(1), prefix)).alias("at", "o"))
+                   .filter("o.df > 1").select("id", "p", "n", "at", "o.item"))
+    a, b = [heads.select(F.col("id").alias(c), "item", *[F.col(k).alias(f"{k}_{c}") for k in ("p", "n", "at")]) for c in "ab"]
+    room = "(least(at_a, at_b) + least(n_a - at_a, n_b - at_b))"
+    return a.join(b, "item").filter(
+        f"a < b AND p_a <> p_b AND 100 * {room} >= {percent} * (n_a + n_b - {room})").select("a", "b").distinct()
+
+
 def _labelled(rows: DataFrame, label: DataFrame, col: str, out: str) -> DataFrame:
     """Adds the component of ``col``; a class without links is its own component."""
     mapping = label.select(F.col("node").alias(col), F.col("component").alias(out))
@@ -205,6 +232,10 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text", w
     rest = own.join(others, "key").filter("p <> q").select(
         F.least("rep", "centre").alias("a"), F.greatest("rep", "centre").alias("b")).distinct()
     more = stored(_confirmed(_alike(rest, signs), sets, percent))
+    if not more.isEmpty():
+        links = links.union(more)
+        label = components(links)
+    more = stored(_confirmed(_alike(_across(inside, centres, label, sets, percent), signs), sets, percent))
     if not more.isEmpty():
         label = components(links.union(more))
     named = _labelled(classes.select("f1", "f2", "n", "rep"), label, "rep", "component")

@@ -119,6 +119,22 @@ def test_groups_of_near_copies(spark, width, percent):
     assert got == brute_groups(texts, width, percent)
 
 
+def test_links_beside_the_centres_of_large_buckets(spark):
+    """Hundreds of texts just under the threshold to each other, with true pairs among them."""
+    rng = random.Random(5)
+    words = lambda n: [f"w{rng.randrange(10 ** 6)}" for _ in range(n)]
+    passage, out = words(602), []
+    for _ in range(100):  # 600 of 714 shingles are shared with the family, 608 of 706 with a partner
+        near = words(8)
+        out += [passage + near + words(49), passage + near + words(49), passage + words(57)]
+    rng.shuffle(out)
+    texts = {i: " ".join(w) for i, w in enumerate(out)}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    want = brute_groups(texts, 3, 85)
+    assert sum(i != c for i, (_, c) in want.items()) == 100
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in neardup.near_duplicates(df).collect()} == want
+
+
 def test_components_of_chains_and_hubs(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, k) for k in range(101, 160)] + [(200, 200), (300, 299), (299, 300), (None, 1)]
     got = {r["node"]: r["component"] for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}
