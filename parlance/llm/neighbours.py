@@ -27,12 +27,16 @@ from pyspark.sql import functions as F
 from .store import stored
 from .words import mix
 
-TABLES, WIDTH, PROBES, SHARD_ROWS, BLOCK = 8, 3.0, 300, 8192, 512
+TABLES, WIDTH, PROBES, DIRECTIONS, SHARD_ROWS, BLOCK = 8, 3.0, 300, 14, 8192, 512
 
 
 def directions(n: int) -> int:
-    """Projections a table uses for ``n`` different vectors."""
-    return min(24, max(4, round(math.log2(max(n, 2))) - 2))
+    """Projections a table uses for ``n`` different vectors.
+
+    No more than ``DIRECTIONS``: the share of all vectors that ``PROBES`` buckets hold falls
+    with every direction, and with it the recall.
+    """
+    return min(DIRECTIONS, max(4, round(math.log2(max(n, 2))) - 2))
 
 
 def perturbations(k: int, probes: int) -> np.ndarray:

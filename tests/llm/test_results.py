@@ -403,6 +403,21 @@ def test_many_copies_lose_nothing(spark):
         assert got[q] == sorted(cos, key=lambda i: (-cos[i], i))[:5]
 
 
+@pytest.mark.parametrize("n", [50_000, 800_000, 3_000_000, 100_000_000])
+def test_neighbours_are_visited_however_many_vectors(n):
+    """Pairs with a cosine of 0.41, the fifth neighbour among 51,282 vectors; it is nearer among more."""
+    rng = np.random.default_rng(n)
+    q, other = rng.standard_normal((2, 600, 64))
+    q /= np.linalg.norm(q, axis=1, keepdims=True)
+    other -= (other * q).sum(axis=1, keepdims=True) * q
+    other /= np.linalg.norm(other, axis=1, keepdims=True)
+    k = neighbours.directions(n)
+    t = neighbours.Tables(64, k, neighbours.TABLES, neighbours.WIDTH, 7)
+    probed = t.probed(q, neighbours.perturbations(k, neighbours.PROBES))
+    held = t.buckets(0.41 * q + math.sqrt(1 - 0.41 ** 2) * other)
+    assert np.mean([bool(set(a) & set(b)) for a, b in zip(probed.tolist(), held.tolist())]) >= 0.9
+
+
 def test_perturbations_are_in_order_of_success():
     sets = neighbours.perturbations(6, 50)
     assert len(sets) == 50 and not sets[0].any() and sets[1].nonzero()[0].tolist() == [0]
