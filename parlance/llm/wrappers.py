@@ -2,7 +2,7 @@
 
 Pages of one host are made by few templates. Pages are folded (siblings of the same
 element and label become one node, so a list of any length is one slot), pages of a host
-are dealt to blocks of about ``BLOCK_PAGES``, and in a block neighbouring trees are
+are reduced to different trees and dealt to blocks of about ``BLOCK_PAGES``, and in a block neighbouring trees are
 aligned by simple tree matching. Each aligned node votes whether both pages hold the
 same text there (template) or different text (slot). Votes of all blocks of a host are
 added, so all pages of a host count however many they are; pairs of pages with the same
@@ -179,7 +179,8 @@ def induced(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame
             yield pd.DataFrame({"host": pdf["host"], "sig": [main_hash(t) for t in trees],
                                 "tree": [json.dumps(t, separators=(",", ":")) for t in trees]})
 
-    trees = stored(rows.mapInPandas(fold, "host string, sig long, tree string"))
+    # Copies do not vote, and would all fall into one block.
+    trees = stored(rows.mapInPandas(fold, "host string, sig long, tree string").distinct())
     sizes = trees.groupBy("host").agg(F.ceil(F.count("*") / BLOCK_PAGES).alias("blocks"))
     dealt = trees.join(small(sizes), "host").withColumn("block", F.pmod(F.xxhash64("tree"), "blocks"))
     votes = dealt.groupBy("host", "block").applyInPandas(

@@ -361,6 +361,21 @@ def test_constant_nodes_become_template(spark):
     assert got == {i: f"Title {i}\n\nText number {i} é with words.\n\nMore {i * i}" for i in range(40)}
 
 
+def test_copies_of_a_page_do_not_fill_a_block(spark, monkeypatch):
+    votes = wrappers._votes
+
+    def bounded(pdf):
+        if len(pdf) > 100:
+            raise ValueError(f"{len(pdf)} pages in a block")
+        return votes(pdf)
+
+    monkeypatch.setattr(wrappers, "_votes", bounded)
+    page = "<html><body><div class='top'>Welcome</div><div class='story'>Text {}</div></body></html>"
+    rows = [(f"https://site.example/{i}", page.format(max(i, 500))) for i in range(540)]
+    got = wrappers.induced(spark.createDataFrame(rows, "url string, html string")).collect()
+    assert [(r["host"], r["template"]) for r in got] == [("site.example", ["//html/body/div.top"])]
+
+
 def test_simple_tree_matching_skips_inserted_nodes():
     a = ["", 0, 0, [["div", 1, 1, []], ["p", 2, 1, []], ["ul", 3, 1, []]]]
     b = ["", 0, 0, [["table", 9, 1, []], ["div", 1, 1, []], ["h1", 8, 1, []], ["ul", 4, 1, []]]]
