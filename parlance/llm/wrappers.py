@@ -42,14 +42,37 @@ _PART = re.compile(r"[A-Za-z]+")
 _DIGITS = re.compile(r"[0-9]+")
 
 
-def set_apart(node, in_article: bool) -> bool:
-    """Marked by element, role or name as something else than main text."""
+def containers(root) -> tuple[set, set]:
+    """Nodes that hold a main element, and those that hold an article outside of articles, with both themselves."""
+    mains, articles, todo = set(), set(), [(root, False)]
+    while todo:
+        node, within = todo.pop()
+        if node.tag == "main" or node.tag == "article" and not within:
+            into, up = mains if node.tag == "main" else articles, node
+            while up is not None and id(up) not in into:
+                into.add(id(up))
+                up = up.parent
+        within = within or node.tag == "article"
+        todo.extend((c, within) for c in node.children if not isinstance(c, str))
+    return mains, articles
+
+
+def set_apart(node, in_article: bool, holding=(frozenset(), frozenset()), whole: bool = False) -> bool:
+    """Marked by element, role or name as something else than main text.
+
+    Names do not count for the page, its body and what holds a main element. For what holds
+    an article, and everywhere if ``whole``, only a class or id that is a name as a whole
+    counts: ``comments``, but not ``has-comments``.
+    """
     if node.tag in APART or node.role in ROLES:
         return True
     if not in_article and node.tag == "header":
         return True
-    if not node.label:
+    if not node.label or node.tag in ("html", "body") or id(node) in holding[0]:
         return False
+    if whole or id(node) in holding[1]:
+        names = set(node.label.lower().split())
+        return bool(names & NAMES) or (not in_article and bool(names & OUTSIDE))
     parts = {p.lower() for p in _PART.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", node.label))}
     return bool(parts & NAMES) or (not in_article and bool(parts & OUTSIDE))
 
@@ -193,12 +216,18 @@ def induced(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame
 
 
 def main_text(html: str, template=frozenset()) -> str:
-    """Blocks of main text, joined by empty lines; '' if there is none."""
+    """Blocks of main text, joined by empty lines; '' if there is none.
+
+    If parts of names leave no text at all, as where they mark the element around the
+    whole page, only whole names count.
+    """
     root = parsed(html or "")
-    return _blocks(root, template, True) or _blocks(root, template, False)
+    holding = containers(root)
+    return (_blocks(root, template, True, holding) or _blocks(root, template, False, holding)
+            or _blocks(root, template, True, holding, True) or _blocks(root, template, False, holding, True))
 
 
-def _blocks(root, template, only_main):
+def _blocks(root, template, only_main, holding, whole=False):
     out, words = [], []
 
     def end():
@@ -232,7 +261,7 @@ def _blocks(root, template, only_main):
             # Folding passes over inline elements and what is nested very deeply, so paths do as well.
             below = f"{path}/{step_of(child)}" if child.tag in BLOCK and path.count("/") <= DEPTH else path
             fixed = below is not path and below in template and (child.label or not deeper)
-            if not set_apart(child, deeper) and not fixed:
+            if not set_apart(child, deeper, holding, whole) and not fixed:
                 todo.append((child, 0, below, deeper))
             elif child.tag in BLOCK:
                 end()

@@ -361,6 +361,21 @@ def test_constant_nodes_become_template(spark):
     assert got == {i: f"Title {i}\n\nText number {i} é with words.\n\nMore {i * i}" for i in range(40)}
 
 
+@pytest.mark.parametrize("page", [
+    '<html class="has-sidebar"><body class="right-sidebar">{}</body></html>',
+    '<body><div id="page" class="has-comments">{}</div></body>',
+    '<body><div class="no-sidebar"><article class="post comments-open">{}</article></div><p>else</p></body>',
+    '<body><div class="page-with-widget"><main id="share">{}</main></div><p>else</p></body>',
+    '<body><article>{}<div class="comments-area"><article class="comment-body">no</article></div></article></body>',
+    '<body><article>{}</article><div id="comments" class="comments-area"><article class="comment">no</article></div></body>',
+])
+def test_names_on_containers_do_not_drop_the_page(page):
+    text = '<p>Story</p><div class="social-links">no</div>'
+    assert wrappers.main_text(page.format(text)) == "Story" or "has-comments" in page
+    assert "Story" in wrappers.main_text(page.format(text))
+    assert wrappers.main_text('<body><div class="sidebar">no</div></body>') == ""
+
+
 def test_copies_of_a_page_do_not_fill_a_block(spark, monkeypatch):
     votes = wrappers._votes
 
