@@ -71,7 +71,7 @@ def test_stretches_lose_no_run():
 def test_edges(spark):
     block = " ".join(f"w{i}" for i in range(5000))
     rows = [(None, None), (1, None), (2, ""), (3, " \n\t "), (4, "one two"), (5, "x " * 24), (5, "x " * 24), (6, "x " * 23),
-            (7, "a b c " * 13), (8, f"{block} {block} {block}"), (9, "A a " * 12)]
+            (7, "a\u00a0b c " * 13), (8, f"{block} {block} {block}"), (9, "A a " * 12)]
     df = spark.createDataFrame([("t", "w", 1, "k", 2, i, t, 3) for i, t in rows], CLASHING)
     out = periods.collapsed_runs(df, keep=["doc_id", "k0", "t"])
     assert out.columns == ["doc_id", "k0", "t", "runs", "collapsed"]
@@ -80,7 +80,7 @@ def test_edges(spark):
     by_id = {g[0]: g[1:] for g in got}
     assert by_id[None] == by_id[1] == by_id[2] == by_id[3] == ([], "")
     assert by_id[4] == ([], "one two") and by_id[6][0] == []
-    assert by_id[5] == ([(0, 24, 1)], "x") and by_id[7] == ([(0, 26, 2)], "a b c")
+    assert by_id[5] == ([(0, 24, 1)], "x") and by_id[7] == ([(0, 26, 2)], "a\u00a0b c")
     assert by_id[8] == ([(0, 15000, 5000)], block) and by_id[9] == ([(0, 24, 2)], "A a")
     assert periods.collapsed_runs(df.limit(0)).count() == 0
     with pytest.raises(ValueError):
