@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .store import small, stored
+
 SIZE, GRAMS, CLUSTERS, FEWEST, SAMPLE, REJECT = 1 << 15, 3, 4, 0.05, 800, 0.01
 BUFFER = 150_000  # code points that are worked on at once
 UNKNOWN = "und"
@@ -140,7 +142,8 @@ def _drawn(rows: DataFrame, sample: int) -> DataFrame:
     different = rows.groupBy("lang").agg(F.approx_count_distinct("key", 0.02).alias("texts"))
     share = F.lit(2.0 * sample) / F.col("texts")
     thin = (F.pmod("key", F.lit(1 << 40)) < share * (1 << 40)) | (F.col("texts") <= 2 * sample)
-    once = rows.join(different, "lang").filter(thin).groupBy("lang", "key").agg(F.min("t").alias("t"))
+    # a row a language, so texts do not move to be thinned
+    once = rows.join(small(stored(different)), "lang").filter(thin).groupBy("lang", "key").agg(F.min("t").alias("t"))
     numbered = once.withColumn("i", F.expr(f"row_number() OVER (PARTITION BY lang ORDER BY pmod(key, {1 << 40}), key)"))
     return numbered.filter(F.col("i") <= sample).select("lang", "key", "t")
 
