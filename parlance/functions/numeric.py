@@ -1,14 +1,12 @@
 """Distribution functions Spark SQL lacks.
 
 The normal distribution is a Column expression, as it is applied to every distinct value
-of a sample. The tail of the Kolmogorov distribution runs on one row per test.
+of a sample.
 """
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 def normal_cdf(z: Column) -> Column:
@@ -29,24 +27,3 @@ def normal_cdf(z: Column) -> Column:
         x < 7.07106781186547, density * polynomial(above) / polynomial(below)
     ).otherwise(density / fraction / F.lit(2.506628274631))
     return F.when(z > 0, 1 - tail).otherwise(tail)
-
-
-def kolmogorov_tail(x: Column) -> Column:
-    """P(K > x) of the limiting Kolmogorov distribution."""
-
-    @F.pandas_udf(T.DoubleType())
-    def tail(values: pd.Series) -> pd.Series:
-        from math import exp, pi, sqrt
-
-        def one(v):
-            if v <= 0:
-                return 1.0
-            if v < 1.18:  # the theta-function form converges fast for small values
-                below = sqrt(2 * pi) / v * sum(
-                    exp(-(k * pi) ** 2 / (8 * v * v)) for k in range(1, 40, 2))
-                return min(1.0, max(0.0, 1.0 - below))
-            return min(1.0, 2 * sum((-1) ** (j - 1) * exp(-2 * (j * v) ** 2) for j in range(1, 40)))
-
-        return values.map(one, na_action="ignore").astype(float)
-
-    return tail(x)

@@ -9,8 +9,8 @@ from .shares import percent
 # Relative error of the quantile sketch is 1 / QUANTILE_ACCURACY; below that many
 # rows it is exact.
 QUANTILE_ACCURACY = 10000
-# Value ranges among which running counts are formed.
-RANGES = 64
+# Distinct values that are ordered in one place at most.
+RANGE_ROWS = 100_000
 
 
 def quantile(value, probability) -> Column:
@@ -18,30 +18,45 @@ def quantile(value, probability) -> Column:
     return F.percentile_approx(value, probability, QUANTILE_ACCURACY)
 
 
+def in_ranges(rows: DataFrame, *order, out: str = "_range") -> DataFrame:
+    """Store ``rows`` in consecutive ranges of ``order``, numbered by ``out``.
+
+    Spark samples the limits of the ranges. They are made narrower until none holds more
+    than ``RANGE_ROWS`` rows, so ``order`` must tell rows apart. Rows that fit into one range
+    are not moved.
+    """
+    n = rows.count()
+    if n <= RANGE_ROWS:
+        return rows.withColumn(out, F.lit(0))
+    parts = 2 * n // RANGE_ROWS
+    while True:
+        ranged = settled(rows.repartitionByRange(parts, *order).withColumn(out, F.spark_partition_id()))
+        if ranged.groupBy(out).count().agg(F.max("count")).first()[0] <= RANGE_ROWS:
+            return ranged
+        parts *= 2
+
+
 def with_counts_below(counts: DataFrame, measures: list[str]) -> DataFrame:
     """Add ``<measure>_below``: the sum of the measure over all smaller values.
 
-    The range limits are a short list of quantiles fetched once, which fixes them for
-    every part of the plan.
+    ``counts`` is a stored table with one row per ``value``. Sums run inside ranges of values
+    and are carried from range to range, so no task orders more than ``RANGE_ROWS`` values
+    and one row per range, however many values there are.
     """
-    cuts = sorted(set(counts.approxQuantile("value", [i / RANGES for i in range(1, RANGES)], 0.005)))
-    limits = F.array(*[F.lit(c) for c in cuts]).cast("array<double>")
-    ranged = counts.withColumn(
-        "_range", F.size(F.filter(limits, lambda c: c < F.col("value"))))
+    ranged = in_ranges(counts, "value")
     inside = (
         Window.partitionBy("_range").orderBy("value")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    # One row per range, at most RANGES of them.
     earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     starts = ranged.groupBy("_range").agg(*[F.sum(m).alias(m) for m in measures]).select(
-        "_range",
+        F.col("_range").alias("_at"),
         *[F.coalesce(F.sum(m).over(earlier), F.lit(0)).alias(f"_start_{m}") for m in measures])
-    out = ranged.join(F.broadcast(starts), "_range")
+    out = ranged.join(F.broadcast(starts), F.col("_range") == F.col("_at"))
     for m in measures:
         out = out.withColumn(
             f"{m}_below", F.col(f"_start_{m}") + F.coalesce(F.sum(m).over(inside), F.lit(0)))
-    return out.drop("_range", *[f"_start_{m}" for m in measures])
+    return out.drop("_range", "_at", *[f"_start_{m}" for m in measures])
 
 
 def interpolated_quantiles(df: DataFrame, value: str, grid: list[float]) -> Column:

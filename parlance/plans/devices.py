@@ -123,7 +123,7 @@ def compare_devices(devices: DataFrame, keys=(), size: int | None = None, seed:
 
 
 def median_turn_difference(spark: SparkSession, devices: DataFrame, replicates: int = 9999,
-                           confidence: float = 0.95, seed: int = 42) -> DataFrame:
-    """Bootstrap interval of the desktop minus mobile median turn."""
+                           confidence: float = 0.95, seed: int = 42, method: str = "bca") -> DataFrame:
+    """Bootstrap interval of the desktop minus mobile median turn, ``bca`` or ``percentile``."""
     return bootstrap_median_difference(
-        spark, devices, "turn", "device_type", "desktop", "mobile", replicates, confidence, seed)
+        spark, devices, "turn", "device_type", "desktop", "mobile", replicates, confidence, seed, method)

@@ -1,3 +1,4 @@
+import itertools
 import math
 import random
 from collections import Counter, defaultdict
@@ -6,7 +7,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from parlance.functions.numeric import kolmogorov_tail, normal_cdf
+from parlance.functions.numeric import normal_cdf
+from parlance.functions.tails import bootstrap_interval, exact_u_tail, limiting_kolmogorov_tail
 from parlance.operators import distributions, inference, lineage, ordering, ranking, sampling, shares
 
 
@@ -133,7 +135,7 @@ def test_mann_whitney(spark, kind):
     rng = random.Random(5)
     a, b = {
         "ties": ([rng.randrange(5) for _ in range(80)], [rng.randrange(1, 6) for _ in range(60)]),
-        "separate": (list(range(10, 20)), list(range(10))),
+        "separate": (list(range(10, 20)), list(range(9))),
         "identical": ([1, 2, 3, 4], [1, 2, 3, 4]),
         "spread": ([rng.gauss(0, 1) for _ in range(300)], [rng.gauss(0.2, 1) for _ in range(250)]),
     }[kind]
@@ -171,27 +173,95 @@ def test_ks_distance(spark):
     assert 0 <= got.p_value < 0.001
 
 
+def test_mann_whitney_is_exact_for_small_samples(spark):
+    a, b = [1.5, 3.0, 7.25, 9.0], [2.0, 4.0, 5.0, 6.0, 8.0, 10.0]
+    df = spark.createDataFrame([(x, "a") for x in a] + [(x, "b") for x in b], "v double, g string")
+    got = inference.mann_whitney(df, "v", "g", "a", "b").first()
+    u = sum(x > y for x in a for y in b)
+    places = [sum(p - i for i, p in enumerate(c)) for c in itertools.combinations(range(10), 4)]
+    side = max(u, 24 - u)
+    p = min(1.0, 2 * sum(x >= side for x in places) / len(places))
+    assert got.u == u and got.p_value == pytest.approx(p) == exact_u_tail(4, 6, u)
+    assert math.erfc(got.z / math.sqrt(2)) == pytest.approx(p)
+    tied = inference.mann_whitney(df.union(df.limit(1)), "v", "g", "a", "b").first()
+    plain = inference.mann_whitney(df, "v", "g", "a", "b", exact=False).first()
+    assert plain.p_value == pytest.approx(brute_mann_whitney(a, b)[2]) != got.p_value
+    assert tied.p_value == pytest.approx(brute_mann_whitney([a[0], *a], b)[2])
+
+
+def test_ks_is_exact_for_small_samples(spark):
+    df = spark.createDataFrame([(float(x),) for x in (1, 2, 3, 4, 5, 6, 7, 8, 9, 30)], "v double")
+    got = inference.ks_against_fitted_normal(df, "v").first()
+    rng = np.random.default_rng(0)
+    x = np.sort(rng.random((100_000, 10)), axis=1)
+    i = np.arange(1, 11)
+    distance = np.maximum(i / 10 - x, x - (i - 1) / 10).max(axis=1)
+    assert got.p_value == pytest.approx((distance >= got.statistic).mean(), abs=0.006)
+
+
 def test_bootstrap_interval_agrees_with_resampling(spark):
     rng = np.random.default_rng(2)
     a, b = rng.poisson(6, 201), rng.poisson(4, 150)
     df = spark.createDataFrame([(float(x), "a") for x in a] + [(float(x), "b") for x in b], "v double, g string")
-    got = inference.bootstrap_median_difference(spark, df, "v", "g", "a", "b", replicates=3000).first()
+
+    def run(frame):
+        return inference.bootstrap_median_difference(
+            spark, frame, "v", "g", "a", "b", replicates=3000, method="percentile").first()
+    got = run(df)
     differences = [
         np.median(rng.choice(a, a.size)) - np.median(rng.choice(b, b.size)) for _ in range(3000)]
     low, high = np.quantile(differences, [0.025, 0.975])
     assert got.replicates == 3000
     assert abs(got.low - low) <= 0.5 and abs(got.high - high) <= 0.5
-    again = inference.bootstrap_median_difference(spark, df.repartition(5), "v", "g", "a", "b", replicates=3000).first()
-    assert again == got
+    assert run(df.repartition(5)) == got
+    nothing = inference.bootstrap_median_difference(spark, df.filter("g = 'a'"), "v", "g", "a", "b").first()
+    assert tuple(nothing) == (0, None, None)
+    with pytest.raises(ValueError):
+        inference.bootstrap_median_difference(spark, df, "v", "g", "a", "b", method="other")
+
+
+def brute_accelerated(a, b, draws, confidence):
+    """The corrected interval with every row left out in turn."""
+    estimate = np.median(a) - np.median(b)
+    cubes = squares = 0.0
+    for sample, sign in ((a, 1), (b, -1)):
+        left_out = np.array([sign * np.median(np.delete(sample, i)) for i in range(len(sample))])
+        influence = (len(sample) - 1) * (left_out.mean() - left_out)
+        cubes += (influence ** 3).sum() / len(sample) ** 3
+        squares += (influence ** 2).sum() / len(sample) ** 2
+    return bootstrap_interval(np.sort(draws), estimate, cubes / squares ** 1.5 / 6, confidence)
+
+
+def test_corrected_interval_agrees_with_resampling(spark):
+    rng = np.random.default_rng(3)
+    a, b = rng.exponential(3, 120), rng.exponential(1, 81)
+    df = spark.createDataFrame([(float(x), "a") for x in a] + [(float(x), "b") for x in b], "v double, g string")
+    draws = [np.median(rng.choice(a, a.size)) - np.median(rng.choice(b, b.size)) for _ in range(20_000)]
+    want = brute_accelerated(a, b, draws, 0.95)
+    got = inference.bootstrap_median_difference(spark, df, "v", "g", "a", "b", replicates=20_000).first()
+    plain = inference.bootstrap_median_difference(spark, df, "v", "g", "a", "b", replicates=20_000, method="percentile").first()
+    assert (got.low, got.high) == pytest.approx(want, abs=0.06 * (want[1] - want[0]))
+    assert (got.low, got.high) != (plain.low, plain.high)
+
+
+def test_ranges_hold_a_bounded_number_of_values(spark):
+    counts = spark.range(2_000_000).select((F.pmod(F.col("id") * 7919, F.lit(2_000_000)) / 2).alias("value"), F.lit(3).alias("n"))
+    ranged = distributions.in_ranges(counts, "value")
+    sizes = [r["count"] for r in ranged.groupBy("_range").count().collect()]
+    assert sum(sizes) == 2_000_000 and max(sizes) <= distributions.RANGE_ROWS and len(sizes) >= 20
+    below = distributions.with_counts_below(counts, ["n"])
+    assert below.filter(F.col("n_below") != F.col("value") * 6).count() == 0 and below.count() == 2_000_000
+    few = distributions.with_counts_below(counts.filter("value < 5"), ["n"])
+    assert sorted((r.value, r.n_below) for r in few.collect()) == [(i / 2, 3 * i) for i in range(10)]
+    assert distributions.with_counts_below(counts.limit(0), ["n"]).count() == 0
 
 
 def test_distribution_functions(spark):
     df = spark.createDataFrame([(-1.96,), (0.0,), (1.6448536,), (None,)], "z double")
     got = [r[0] for r in df.select(normal_cdf(F.col("z"))).collect()]
     assert got[:3] == pytest.approx([0.0249979, 0.5, 0.95], abs=1e-6) and (got[3] is None or math.isnan(got[3]))
-    df = spark.createDataFrame([(0.0,), (0.5,), (1.0,), (1.3581,), (1.6276,)], "x double")
     # Critical values of the Kolmogorov distribution: 5 % at 1.3581, 1 % at 1.6276.
-    assert [r[0] for r in df.select(kolmogorov_tail(F.col("x"))).collect()] == pytest.approx(
+    assert [limiting_kolmogorov_tail(x) for x in (0.0, 0.5, 1.0, 1.3581, 1.6276)] == pytest.approx(
         [1.0, 0.9639452, 0.2699997, 0.05, 0.01], abs=2e-5)
 
 
