@@ -27,8 +27,7 @@ def by_country(spark, sf):
 
 
 def large(spark, sf):
-    log = used(spark, sf)
-    return dv.large_countries(dv.devices_by_country(log), log, 350).select("country", big("total_devices"))
+    return dv.large_countries(dv.devices_by_country(used(spark, sf)), 350).select("country", big("total_devices"))
 
 
 def by_continent(spark, sf):

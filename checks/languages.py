@@ -27,7 +27,7 @@ def countries(spark, sf):
 
 def by_country(spark, sf):
     chats = chat_log(spark, sf)
-    return lg.top_languages_by_country(chats, lg.top_countries(chats, 20), 2, ["English", "French"]).select(
+    return lg.top_languages_by_country(chats, 20, 2, ["English", "French"]).select(
         "country", "language", "count", big("rank"))
 
 
@@ -38,39 +38,39 @@ def by_country_wide(spark, sf):
     return lg.languages_by_country_wide(top2, named)
 
 
-def messages(spark, sf):
-    return lg.message_languages(chat_log(spark, sf))
+def switches(spark, sf):
+    return lg.switch_table(chat_log(spark, sf))
 
 
 def rates(spark, sf):
-    return lg.switch_rates(messages(spark, sf)).select(
+    return lg.switch_rates(switches(spark, sf)).select(
         "model_tag", "language_switches", "total_turns", r6("switch_rate"))
 
 
 def totals(spark, sf):
-    return lg.switch_totals(lg.switch_rates(messages(spark, sf))).select(
+    return lg.switch_totals(lg.switch_rates(switches(spark, sf))).select(
         "total_language_switches", "total_turns", r6("total_switch_rate"))
 
 
 def sources(spark, sf):
-    return lg.switch_sources(messages(spark, sf), 2).select("model_tag", "prev_language", "count", big("rank"))
+    return lg.switch_sources(switches(spark, sf), 2).select("model_tag", "prev_language", "count", big("rank"))
 
 
 def test(spark, sf):
-    return lg.switch_test(messages(spark, sf)).select(
+    return lg.switch_test(switches(spark, sf)).select(
         "n1", "n2", r6("u"), r6("z"), r6("effect_size"), "interpretation")
 
 
 def test_p(spark, sf):
-    return lg.switch_test(messages(spark, sf)).select(r6("p_value"))
+    return lg.switch_test(switches(spark, sf)).select(r6("p_value"))
 
 
 def normality(spark, sf):
-    return lg.switch_normality(messages(spark, sf), "gpt-4").select("n", r6("mean"), r6("std"))
+    return lg.switch_normality(switches(spark, sf), "gpt-4").select("n", r6("mean"), r6("std"))
 
 
 def normality_distance(spark, sf):
-    return lg.switch_normality(messages(spark, sf), "gpt-4").select(r6("statistic"), r6("p_value"))
+    return lg.switch_normality(switches(spark, sf), "gpt-4").select(r6("statistic"), r6("p_value"))
 
 
 _SWITCH = f"""WITH {MESSAGES}, s AS (

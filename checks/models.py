@@ -1,4 +1,5 @@
 """Registered queries that sample rows or fit models; none can be said in SQL."""
+from parlance.operators.lineage import settled
 from parlance.operators.sampling import bernoulli_sample, hash_split
 from parlance.plans import classify as cl
 from parlance.plans import harm as hm
@@ -65,13 +66,21 @@ def conversation_texts(spark, sf):
     return tp.full_texts(chat_log(spark, sf)).select("conversation_hash", F.md5("full_text").alias("digest"))
 
 
-def label_classifiers(spark, sf):
+def _embedded(spark, sf):
+    """Word vectors of the drawn messages; the draw is small at these scales, so all of it is used."""
     keys = ["conversation_hash", "position"]
     messages = hm.message_table(chat_log(spark, sf), language=None, keep=["conversation_hash"])
-    drawn = cl.draw_labelled_messages(messages, keys)
-    # The draw is small at these scales, so all of it is used. The network needs minutes
-    # per table whatever its size; the linear classifier stands for it here.
-    return cl.fit_label_classifiers(cl.embed_messages(drawn, keys, fraction=1.0), cl.regression, partitions=8)
+    return cl.embed_messages(cl.draw_labelled_messages(messages, keys), keys, fraction=1.0)
+
+
+def label_classifiers(spark, sf):
+    """The linear alternative, one regression per label."""
+    return cl.fit_label_classifiers(_embedded(spark, sf), cl.regression, partitions=8)
+
+
+def label_network(spark, sf):
+    """One network of (256, 128) hidden units for all labels."""
+    return cl.fit_label_network(settled(_embedded(spark, sf))).metrics()
 
 
 def labelled_draw(spark, sf):
@@ -114,6 +123,7 @@ WITH {MESSAGES}, c AS (
   SELECT 'not_toxic' AS drawn_for, least(count(*) FILTER (NOT rude), 1000) AS count FROM verdicts UNION ALL {_LABELS})
 SELECT * FROM c WHERE count > 0"""),
     "label_classifiers": Check(label_classifiers),
+    "label_network": Check(label_network),
     "hash_split": Check(split_sizes),
     "hash_sample": Check(sampled_languages),
 }

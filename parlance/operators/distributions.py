@@ -43,6 +43,9 @@ def with_counts_below(counts: DataFrame, measures: list[str]) -> DataFrame:
     and are carried from range to range, so no task orders more than ``RANGE_ROWS`` values
     and one row per range, however many values there are.
     """
+    if counts.count() <= RANGE_ROWS:
+        smaller = Window.partitionBy(F.lit(0)).orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+        return counts.withColumns({f"{m}_below": F.coalesce(F.sum(m).over(smaller), F.lit(0)) for m in measures})
     ranged = in_ranges(counts, "value")
     inside = (
         Window.partitionBy("_range").orderBy("value")

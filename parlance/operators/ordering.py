@@ -1,36 +1,40 @@
 """Row numbers and differences inside groups that may hold a large part of all rows.
 
 A plain window puts a whole group into one task. Both operators here split each group
-into blocks along its own order, work inside the blocks, and carry over from block to
-block with a second window that sees one row per block.
+into pieces along its own order, work inside the pieces, and carry over from piece to
+piece with a second window that sees one row per piece.
 """
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .distributions import in_ranges
+from .lineage import settled
 
-def ordinal_within(df: DataFrame, key: str, position: str, out: str,
-                   block_width: int = 1024) -> DataFrame:
-    """Number the rows of each key from 1 by an integer position, unique per key.
 
-    NULL is a key like any other, and rows without a position come first.
+def ordinal_within(df: DataFrame, key: str, position: str, out: str) -> DataFrame:
+    """Number the rows of each key from 1 by position.
+
+    Positions may be of any sortable type, may repeat and may be NULL, which comes first;
+    NULL is a key like any other. Of equal positions any is first, always the same one for
+    the stored rows. Rows are laid into ranges of (key, position) of bounded size, whatever
+    part of them one key, or one key's rows without a position, makes up. Only the first key
+    of a range can have begun in an earlier one, so one number per range carries the count on.
     """
-    block = F.floor(F.col(position) / block_width).alias("_block")
-    blocked = df.withColumn("_block", block)
-    inside = Window.partitionBy(key, "_block").orderBy(position)
-    before = (
-        Window.partitionBy(key).orderBy("_block")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
+    rows = settled(df).withColumn("_row", F.monotonically_increasing_id())
+    ranged = in_ranges(rows, key, position, "_row")
+    spans = ranged.groupBy("_range", key).agg(F.count("*").alias("_n"))
+    before = Window.partitionBy(key).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
-        blocked.groupBy(key, "_block").agg(F.count("*").alias("_n"))
-        .select(F.col(key).alias("_key"), F.col("_block").alias("_at"),
-                F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+        spans.withColumn("_start", F.sum("_n").over(before)).filter("_start > 0")
+        .select(F.col("_range").alias("_at"), F.col(key).alias("_key"), "_start")
     )
+    inside = Window.partitionBy("_range", key).orderBy(F.col(position).asc_nulls_first(), "_row")
+    same = (F.col("_range") == F.col("_at")) & F.col(key).eqNullSafe(F.col("_key"))
     return (
-        blocked.withColumn("_inside", F.row_number().over(inside))
-        .join(starts, F.col(key).eqNullSafe(F.col("_key")) & F.col("_block").eqNullSafe(F.col("_at")))
-        .withColumn(out, F.col("_start") + F.col("_inside"))
-        .drop("_block", "_start", "_inside", "_key", "_at")
+        ranged.withColumn("_inside", F.row_number().over(inside))
+        .join(F.broadcast(starts), same, "left")
+        .withColumn(out, F.coalesce("_start", F.lit(0)) + F.col("_inside"))
+        .drop("_row", "_range", "_at", "_key", "_start", "_inside")
     )
 
 

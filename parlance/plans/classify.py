@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.lineage import settled
+from ..operators.network import Network, fit_network, with_chances
 from ..operators.sampling import (
     balanced_split, bernoulli_sample, first_by_hash, hash_split, hash_uniform,
 )
@@ -225,11 +226,45 @@ def fit_label_classifiers(embedded: DataFrame, estimator=network, partitions: in
     return binary_metrics(scored.select(F.inline(F.array(*pairs) if pairs else empty)))
 
 
-def binary_metrics(scored: DataFrame) -> DataFrame:
+@dataclass
+class FittedLabels:
+    """The label network with the test rows and the chances it gives them."""
+    network: Network
+    predictions: DataFrame
+
+    def metrics(self) -> DataFrame:
+        """Log loss, accuracy, precision and recall of every label on the test rows."""
+        pairs = F.array(*[
+            F.struct(F.lit(name).alias("label_name"), F.col(name).cast("int").alias("label"),
+                     F.col(f"chance_{name}").alias("chance")) for name in self.network.labels])
+        scored = self.predictions.select(F.inline(pairs)).filter("label IS NOT NULL AND chance IS NOT NULL")
+        surprise = -F.ln(F.greatest(F.when(F.col("label") == 1, F.col("chance")).otherwise(1 - F.col("chance")), F.lit(1e-7)))
+        scored = scored.withColumn("prediction", (F.col("chance") >= 0.5).cast("int")).withColumn("surprise", surprise)
+        return binary_metrics(scored, F.avg("surprise").alias("loss"))
+
+    def history(self, spark) -> DataFrame:
+        """Summed log loss of the labels on training and validation rows, per pass."""
+        rows = [(i, float(a), float(b)) for i, (a, b) in enumerate(self.network.steps, 1)]
+        return spark.createDataFrame(rows, "step long, train_loss double, validation_loss double")
+
+
+def fit_label_network(embedded: DataFrame, hidden=(256, 128), drop=(0.3, 0.2), steps: int = 200,
+                      rate: float = 0.003, patience: int = 30, seed: int = 42) -> FittedLabels:
+    """One network for all labels: shared hidden layers, an output and a log loss per label.
+
+    The weights are those with the lowest loss on the validation part; the metrics come from
+    the test part. Unknown labels are neither learnt from nor counted.
+    """
+    rows = embedded.withColumn("features", vector_to_array("features"))
+    network = fit_network(rows, "features", list(MESSAGE_LABELS), hidden, drop, steps, rate, patience, seed)
+    return FittedLabels(network, with_chances(rows.filter("part = 'test'"), network, "features"))
+
+
+def binary_metrics(scored: DataFrame, *more) -> DataFrame:
     """Accuracy, precision and recall of the positive class per label."""
     positive, said = F.col("label") == 1, F.col("prediction") == 1
     return scored.groupBy("label_name").agg(
         F.count("*").alias("rows"),
         F.avg((F.col("label") == F.col("prediction")).cast("double")).alias("accuracy"),
         F.coalesce(F.try_divide(F.count_if(positive & said), F.count_if(said)), F.lit(0.0)).alias("precision"),
-        F.coalesce(F.try_divide(F.count_if(positive & said), F.count_if(positive)), F.lit(0.0)).alias("recall"))
+        F.coalesce(F.try_divide(F.count_if(positive & said), F.count_if(positive)), F.lit(0.0)).alias("recall"), *more)

@@ -6,7 +6,6 @@ from ..functions.labels import device_type, indicator
 from ..operators.inference import (
     bootstrap_median_difference, descriptives, mann_whitney, moments, normal_quantile_table,
 )
-from ..operators.ranking import restrict_to
 from ..operators.sampling import equal_size_sample
 from ..operators.shares import percent
 from ..sources.dimensions import with_continent
@@ -32,10 +31,9 @@ def devices_by_country(devices: DataFrame) -> DataFrame:
     )
 
 
-def large_countries(per_country: DataFrame, conversations: DataFrame, more_than: int = 2000) -> DataFrame:
-    """Rows of a per-country table whose country has enough conversations."""
-    sizes = conversations.groupBy("country").count().filter(F.col("count") > more_than)
-    return restrict_to(per_country, sizes, "country")
+def large_countries(per_country: DataFrame, more_than: int = 2000) -> DataFrame:
+    """Rows of ``devices_by_country`` whose country has enough conversations, a number it holds."""
+    return per_country.filter(F.col("total_devices") > more_than)
 
 
 def devices_by_continent(devices: DataFrame, continents: DataFrame) -> DataFrame:

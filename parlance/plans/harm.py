@@ -7,7 +7,6 @@ from ..functions.labels import indicator, model_family, model_tag
 from ..functions.moderation import (
     any_key, category_keys, first_flagged_index, is_harmful, key_groups, zipped_messages,
 )
-from ..operators.distributions import quantile
 from ..operators.ranking import top_rows
 from ..operators.shares import percent
 
@@ -40,21 +39,23 @@ def first_flag_distribution(conversations: DataFrame) -> DataFrame:
 def turns_by_harm(conversations: DataFrame) -> DataFrame:
     """Mean, deviation and median of turns: harmful, other and all conversations.
 
-    Conversations of unknown verdict are only in ``all``.
+    Conversations of unknown verdict are only in ``all``. The log is counted per verdict and
+    turn once; the three groups, two of which share rows, are put together from the counts.
+    The median is the lower one of an even number of rows.
     """
-    known = conversations.select("turn", is_harmful().alias("is_harmful"))
-    label = (
-        F.when(F.grouping("is_harmful") == 1, "all")
-        .when(F.col("is_harmful"), "harmful")
-        .when(~F.col("is_harmful"), "other")
-    )
-    return (
-        known.rollup("is_harmful")
-        .agg(label.alias("conversations"), F.avg("turn").alias("avg_turns"),
-             F.stddev("turn").alias("std_turns"), quantile("turn", 0.5).alias("median_turns"))
-        .filter(F.col("conversations").isNotNull())
-        .drop("is_harmful")
-    )
+    counts = conversations.groupBy(is_harmful().alias("is_harmful"), "turn").agg(F.count("*").alias("n"))
+    label = F.when(F.col("is_harmful"), "harmful").when(~F.col("is_harmful"), "other")
+    groups = F.explode(F.array_compact(F.array(F.lit("all"), label))).alias("conversations")
+    cells = counts.select(groups, F.col("turn").cast("double").alias("t"), "n").groupBy("conversations", "t").agg(F.sum("n").alias("n"))
+    whole = Window.partitionBy("conversations")
+    known = F.when(F.col("t").isNotNull(), F.col("n"))
+    mean = F.try_divide(F.sum(F.col("n") * F.col("t")).over(whole), F.sum(known).over(whole))
+    upto = F.sum(known).over(whole.orderBy(F.col("t").asc_nulls_last()))
+    cells = cells.select("conversations", "t", "n", mean.alias("mean"), upto.alias("upto"), F.sum(known).over(whole).alias("rows"))
+    squares = F.sum(F.col("n") * F.pow(F.col("t") - F.col("mean"), 2))
+    return cells.groupBy("conversations").agg(
+        F.max("mean").alias("avg_turns"), F.sqrt(F.try_divide(squares, F.max("rows") - 1)).alias("std_turns"),
+        F.min(F.when(F.col("upto") * 2 >= F.col("rows"), F.col("t"))).alias("median_turns"))
 
 
 def _harm_counts(conversations: DataFrame, *keys) -> DataFrame:

@@ -46,7 +46,7 @@ def test_ordinal_within_equals_row_number(spark):
     rng = random.Random(3)
     rows = [("hot", p) for p in rng.sample(range(10_000), 4000)]
     rows += [(f"k{i}", p) for i in range(20) for p in rng.sample(range(5000), 50)]
-    got = ordering.ordinal_within(spark.createDataFrame(rows, "k string, p long").repartition(8), "k", "p", "n", 256)
+    got = ordering.ordinal_within(spark.createDataFrame(rows, "k string, p long").repartition(8), "k", "p", "n")
     expected = {}
     for k in {k for k, _ in rows}:
         for n, p in enumerate(sorted(p for kk, p in rows if kk == k), 1):
@@ -54,9 +54,28 @@ def test_ordinal_within_equals_row_number(spark):
     assert {(r.k, r.p): r.n for r in got.collect()} == expected
 
 
+def test_ordinal_within_splits_rows_without_a_position(spark, monkeypatch):
+    monkeypatch.setattr(distributions, "RANGE_ROWS", 200)
+    rng = random.Random(4)
+    rows = [("hot", None)] * 700 + [("hot", rng.randrange(40) / 4) for _ in range(900)]
+    rows += [(f"k{rng.randrange(30)}", rng.choice([None, 0.5, 1.5, 2.25])) for _ in range(500)] + [(None, 1.0)] * 300
+    df = spark.createDataFrame(rows, "k string, p double")
+    got = ordering.ordinal_within(df, "k", "p", "n")
+    assert got.columns == ["k", "p", "n"]
+    found = defaultdict(list)
+    for r in got.collect():
+        found[r.k].append((r.n, -1.0 if r.p is None else r.p))
+    for k in {k for k, _ in rows}:
+        numbered = sorted(found[k])
+        assert [n for n, _ in numbered] == list(range(1, len(numbered) + 1))
+        assert [p for _, p in numbered] == sorted(-1.0 if p is None else p for kk, p in rows if kk == k)
+    ranged = distributions.in_ranges(lineage.settled(df).withColumn("i", F.monotonically_increasing_id()), "k", "p", "i")
+    assert max(r["count"] for r in ranged.groupBy("_range").count().collect()) <= 200
+
+
 def test_ordinal_within_keeps_null_keys_and_positions(spark):
     rows = [(None, 1), (None, 2), ("a", 1), ("a", None), ("b", 300)]
-    got = ordering.ordinal_within(spark.createDataFrame(rows, "k string, p long"), "k", "p", "n", 256).collect()
+    got = ordering.ordinal_within(spark.createDataFrame(rows, "k string, p long"), "k", "p", "n").collect()
     assert {(r.k, r.p): r.n for r in got} == {(None, 1): 1, (None, 2): 2, ("a", None): 1, ("a", 1): 2, ("b", 300): 1}
 
 

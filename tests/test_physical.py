@@ -30,6 +30,7 @@ def scans(df):
     (structure.user_length_by_turn, ["language", "timestamp", "openai_moderation"]),
     (structure.assistant_length_by_position, ["timestamp", "redacted", "openai_moderation"]),
     (languages.message_languages, ["content", "redacted", "openai_moderation"]),
+    (languages.switch_table, ["content", "redacted", "openai_moderation"]),
     (harm.turns_by_harm, ["categories", "category_scores", "content"]),
     (lambda df: harm.assistant_harm_by_model(df, True), ["categories", "content", "language"]),
     (harm.categories_by_family, ["category_scores", "content", "language"]),
@@ -75,3 +76,18 @@ def test_log_is_scanned_once(spark, analysis, times):
     df.collect()
     final = plan_of(df).split("== Initial Plan ==")[0]
     assert final.count("events.parquet") <= times
+
+
+def test_switches_and_harm_count_before_they_move(stored):
+    switches = plan_of(languages.switch_table(stored))
+    assert switches.count("Exchange") == 1 and "Exchange hashpartitioning(model_tag" in switches
+    assert "Window" not in switches and "Join" not in switches
+    assert "Expand" not in plan_of(harm.turns_by_harm(stored))
+    assert "array_sort" in switches and switches.count("array_sort") == 1  # put in order once a row
+
+
+def test_large_tables_are_read_once(spark, stored):
+    used = devices.with_device(usage_log(spark, SF))
+    assert plan_of(devices.large_countries(devices.devices_by_country(used), 5)).count("events.parquet") == 1
+    assert len(scans(languages.top_languages_by_country(stored, 3))) <= 2  # both of the stored counts
+    assert "conversation" not in scans(languages.top_languages_by_country(stored, 3))[0]

@@ -1,12 +1,14 @@
 from datetime import datetime as dt
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from parlance.plans import devices, harm, languages, localtime, structure, users, words
+from parlance.sources import sinks
 from parlance.sources import (
     combine_corpora, distinct_values, one_per_first_turn, one_per_key, read_corpus, read_lines, row_count, rows_not_in,
-    shared_columns, with_continent, write_csv, write_parquet,
+    shared_columns, with_continent, write_csv, write_parquet, write_partitions,
 )
 
 
@@ -45,6 +47,38 @@ def test_sinks(spark, tmp_path):
     assert rows(read_corpus(spark, str(tmp_path / "p")), "v") == [(0,), (2,), (4,), (6,), (8,)]
 
 
+def test_single_file_is_for_small_tables(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sinks, "ONE_FILE_ROWS", 100)
+    with pytest.raises(ValueError):
+        write_parquet(spark.range(101), str(tmp_path / "p"), single_file=True)
+    assert not (tmp_path / "p").exists()
+    write_parquet(spark.range(100), str(tmp_path / "p"), single_file=True)
+    write_parquet(spark.range(7), str(tmp_path / "p"), single_file=True)
+    assert spark.read.parquet(str(tmp_path / "p")).count() == 7
+
+
+def test_partitions_are_split_and_replaced_one_by_one(spark, tmp_path):
+    path = str(tmp_path / "days")
+    first = spark.range(1000).select(F.lit("hot").alias("day"), F.col("id"), F.lit(1).alias("v")).unionByName(
+        spark.range(30).selectExpr("CASE WHEN id % 3 = 0 THEN NULL ELSE concat('d', id % 3) END AS day", "id", "1 AS v"))
+    write_partitions(first, path, ["day"], rows_per_file=100)
+    files = {d.name: [pq.ParquetFile(f).metadata.num_rows for f in d.glob("*.parquet")] for d in (tmp_path / "days").iterdir() if d.is_dir()}
+    assert set(files) == {"day=hot", "day=d1", "day=d2", "day=__HIVE_DEFAULT_PARTITION__"}
+    assert len(files["day=hot"]) > 3 and max(files["day=hot"]) < 500 and all(len(f) == 1 for d, f in files.items() if d != "day=hot")
+    before = {f: f.stat().st_mtime_ns for f in (tmp_path / "days").glob("day=*/*.parquet")}
+    again = spark.createDataFrame([("d1", 5, 2), ("d9", 6, 2)], "day string, id long, v int")
+    write_partitions(again, path, ["day"])
+    got = spark.read.parquet(path)
+    assert rows(got.filter("v = 2"), "day", "id") == [("d1", 5), ("d9", 6)]
+    assert got.count() == 1000 + 20 + 2 and got.filter("day IS NULL").count() == 10
+    assert {f for f, t in before.items() if f.exists() and f.stat().st_mtime_ns == t} == {f for f in before if f.parent.name != "day=d1"}
+    same = spark.range(600).selectExpr("'x' AS day", "7L AS id", "3 AS v")
+    write_partitions(same, path, ["day"], rows_per_file=100)
+    assert spark.read.parquet(path).filter("day = 'x'").count() == 600 and len(list((tmp_path / "days/day=x").glob("*.parquet"))) > 1
+    with pytest.raises(ValueError):
+        write_partitions(same, path, [])
+
+
 def test_word_count_keeps_empty_words(spark, tmp_path):
     (tmp_path / "t.txt").write_text("a b  a\n\nb\n")
     got = words.word_count(read_lines(spark, str(tmp_path / "t.txt")))
@@ -264,7 +298,7 @@ def test_devices(spark):
         ("desktop", 1.0), ("mobile", 3.0)]
     turns = {r.device_type: r for r in devices.turns_by_device(used).collect()}
     assert turns["desktop"].avg_turns_all == 5.0 and turns["desktop"].percentage == 75.0
-    assert rows(devices.large_countries(devices.devices_by_country(used), used, 2), "country") == [("A",)]
+    assert rows(devices.large_countries(devices.devices_by_country(used), 2), "country") == [("A",)]
 
 
 # --- harm ------------------------------------------------------------------------
@@ -344,7 +378,7 @@ def test_switches(spark):
         ("gpt-3.5-c", [m("user", "English", 4), m("assistant", None, 4), m("user", "English", 5)]),
         ("gpt-3.5-d", [m("assistant", "English", 6)]),
     ], "model string, conversation array<struct<turn_identifier:bigint,role:string,language:string>>")
-    messages = languages.message_languages(df)
+    messages = languages.switch_table(df)
     rates = languages.switch_rates(messages)
     assert rows(rates, "model_tag", "language_switches", "total_turns", "switch_rate") == [
         ("gpt-3.5", 0, 2, 0.0), ("gpt-4", 2, 4, 0.5)]
