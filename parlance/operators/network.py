@@ -117,7 +117,7 @@ def _blocks(rows: DataFrame, features: str, labels: list[str]):
 
 
 def fit_network(rows: DataFrame, features: str, labels: list[str], hidden=(256, 128), drop=(0.3, 0.2),
-                steps: int = 200, rate: float = 0.003, patience: int = 30, seed: int = 42) -> Network:
+                steps: int = 300, rate: float = 0.01, patience: int = 60, seed: int = 42) -> Network:
     """Train on rows with ``part`` = 'train', stop by those with 'validation'.
 
     ``features`` is an array of doubles, all of one width, ``labels`` hold 0, 1 or NULL

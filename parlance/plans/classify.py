@@ -248,8 +248,8 @@ class FittedLabels:
         return spark.createDataFrame(rows, "step long, train_loss double, validation_loss double")
 
 
-def fit_label_network(embedded: DataFrame, hidden=(256, 128), drop=(0.3, 0.2), steps: int = 200,
-                      rate: float = 0.003, patience: int = 30, seed: int = 42) -> FittedLabels:
+def fit_label_network(embedded: DataFrame, hidden=(256, 128), drop=(0.3, 0.2), steps: int = 300,
+                      rate: float = 0.01, patience: int = 60, seed: int = 42) -> FittedLabels:
     """One network for all labels: shared hidden layers, an output and a log loss per label.
 
     The weights are those with the lowest loss on the validation part; the metrics come from
