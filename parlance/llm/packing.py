@@ -7,8 +7,9 @@
 3. Dual feasible functions bound from below how many sequences a partition's pieces
    need. A partition that reaches its bound is certified and done.
 4. Partitions with a gap keep their exactly full sequences and give all other pieces
-   back; these are dealt anew, to fewer partitions, and packed again. Rounds go on while
-   they save sequences; a round that saves none is dropped.
+   back; these are dealt anew, to half as many partitions for their number, and packed
+   again, down to one partition or to ``MOST`` times ``PART_ROWS`` pieces in each. A round
+   that saves no sequence is dropped, and the next one starts from the best so far.
 """
 import zlib
 
@@ -20,8 +21,8 @@ from pyspark.sql import functions as F
 from .store import stored
 from .tokens import encoder
 
-PART_ROWS = 20_000
-ROUNDS = 6
+PART_ROWS, MOST = 20_000, 32  # pieces of a partition in the first round, times as many in the last
+ROUNDS = 8
 PIECE = "row_id string, piece int, start long, length long, ids_crc32 long"
 
 
@@ -83,8 +84,12 @@ def best_fit_decreasing(lengths, size: int):
 
 
 def lower_bound(lengths, size: int) -> int:
-    """Sequences that the items need at least, by two families of dual feasible functions."""
-    count = np.bincount(lengths, minlength=size + 1)[:size + 1]
+    """Sequences that the items need at least."""
+    return bound_of_counts(np.bincount(lengths, minlength=size + 1)[:size + 1], size)
+
+
+def bound_of_counts(count, size: int) -> int:
+    """The bound for ``count[x]`` items of length x, by two families of dual feasible functions."""
     x = np.arange(size + 1)
     number, total = np.cumsum(count), np.cumsum(count * x)
     low = np.arange(0, size // 2 + 1)  # items under it count nothing, items over size - low count full
@@ -99,6 +104,21 @@ def lower_bound(lengths, size: int) -> int:
     return best
 
 
+def certificate(packed: DataFrame, size: int = 2048) -> DataFrame:
+    """One row: pieces, sequences, ``bound`` that no packing can be under, and ``gap``.
+
+    Lengths are counted by Spark; what reaches the driver is a number per length. Nothing
+    packed gives zeros.
+    """
+    lengths = packed.groupBy("length").agg(F.count("*").alias("n")).collect()
+    count = np.zeros(size + 1, np.int64)
+    for r in lengths:
+        count[r["length"]] = r["n"]
+    bound = bound_of_counts(count, size) if count.any() else 0
+    return packed.agg(F.count("*").alias("pieces"), F.count_distinct("sequence_id").alias("sequences")).withColumns(
+        {"bound": F.lit(bound).cast("long"), "gap": F.col("sequences") - F.lit(bound)})
+
+
 def _packed(items: DataFrame, parts: int, size: int, round_no: int) -> DataFrame:
     """One round: items with sequence, offset and whether their place is final."""
     schema = PIECE + ", sequence_id long, offset long, final boolean, excess long"
@@ -139,26 +159,23 @@ def pack(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text: str = "tex
     alone = all_pieces.filter(F.col("length") == size).select(
         "*", (F.lit(127 << 56) + F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     done, items = [alone], all_pieces.filter(F.col("length") < size)
-    count = items.count()
-    before = None
+    count, width, best = items.count(), PART_ROWS, None
     for round_no in range(ROUNDS):
         if not count:
             break
-        parts = -(-count // PART_ROWS)
+        parts = -(-count // width)
         now = stored(_packed(items, parts, size, round_no))
         sequences, = now.agg(F.count_distinct("sequence_id")).first()
-        if before is not None and sequences >= before[1]:
-            done.append(before[0])
-            count = 0
-            break
-        done.append(now.filter("final").select(columns))
-        rest = now.filter("NOT final")
-        count, open_sequences = rest.agg(F.count("*"), F.count_distinct("sequence_id")).first()
-        before, items = (rest.select(columns), open_sequences), rest.drop("sequence_id", "offset", "final", "excess")
-        if parts == 1:
+        if best is None or sequences < best[1]:
+            done.append(now.filter("final").select(columns))
+            rest = now.filter("NOT final")
+            count, open_sequences = rest.agg(F.count("*"), F.count_distinct("sequence_id")).first()
+            best, items = (rest.select(columns), open_sequences), rest.drop("sequence_id", "offset", "final", "excess")
+        if parts == 1 or width == MOST * PART_ROWS:
             break
-    if count and before is not None:
-        done.append(before[0])
+        width *= 2
+    if count:
+        done.append(best[0])
     out = done[0]
     for more in done[1:]:
         out = out.union(more)

@@ -306,6 +306,12 @@ def test_packing_is_complete_and_tight(spark):
     assert bound <= len(bins) <= bound + 1
 
 
+def test_certificate_states_the_gap(spark):
+    rows = spark.createDataFrame([(n, s) for n, s in [(1500, 0), (500, 0), (1500, 1), (48, 1), (1500, 2), (2048, 3)]], "length long, sequence_id long")
+    assert tuple(packing.certificate(rows).first()) == (6, 4, 4, 0)
+    assert tuple(packing.certificate(rows.limit(0)).first()) == (0, 0, 0, 0)
+
+
 def test_bounds_hold_and_rounds_exchange(spark, monkeypatch):
     rng = np.random.default_rng(1)
     for _ in range(200):
