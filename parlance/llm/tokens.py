@@ -1,8 +1,10 @@
 """Token ids of whole texts, inside Python tasks.
 
-A text is cut into segments, each a run of white space and the word after it. The
-byte-level tokenizers' patterns never join what such a cut separates, so a text's ids are
-its segments' ids in a row; a worker encodes each different segment once and looks the
+A text is cut into segments, each a run of white space and the word after it, and marks
+like a comma behind a Latin letter or digit begin a segment of their own, so that a word
+is known with and without them. The byte-level tokenizers' patterns never join what such
+cuts separate, so a text's ids are its segments' ids in a row (marks are cut off only if
+the tokenizer is seen to keep them apart); a worker encodes each different segment once and looks the
 others up by hash. The table of segments is bounded and starts anew when full.
 """
 import os
@@ -14,6 +16,9 @@ import numpy as np
 from .words import Hasher, buffers, is_space, owners
 
 ENTRIES, POOL = 400_000, 3_000_000
+_MARK, _PLAIN = np.zeros(256, bool), np.zeros(256, bool)
+_MARK[list(b".,;:!?")] = True
+_PLAIN[list(b"0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")] = True
 
 
 class Encoder:
@@ -23,6 +28,9 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer, self.hasher = Tokenizer.from_file(path), Hasher()
+        whole, apart = ([i for part in parts for i in self.tokenizer.encode(part, add_special_tokens=False).ids]
+                        for parts in (["ab, 1.c;\n d!"], ["ab", ",", " 1", ".c", ";", "\n d", "!"]))
+        self.marks_apart = whole == apart
         self.clear()
 
     def clear(self):
@@ -55,6 +63,8 @@ class Encoder:
             space = is_space(buf)
             begins = space.copy()
             begins[1:] &= ~space[:-1]
+            if self.marks_apart:
+                begins[1:] |= _MARK[buf[1:]] & _PLAIN[buf[:-1]]
             begins[t0] = True
             begins[t1] = False  # what ends a text in the buffer is not part of it
             starts = np.flatnonzero(begins)
