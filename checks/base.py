@@ -29,3 +29,11 @@ def known(name: str) -> Column:
 
 def sum_big(expression: str) -> str:
     return f"CAST(sum({expression}) AS BIGINT)"
+
+
+def normal_sql(z: str) -> str:
+    """The normal distribution function in DuckDB's SQL, by its power series; 0 or 1 beyond 8."""
+    steps = "list_transform(range(120, 0, -1), lambda k: CAST(2 * k + 1 AS DOUBLE))"
+    series = f"list_reduce(list_prepend(CAST(1 AS DOUBLE), {steps}), lambda acc, m: 1 + ({z}) * ({z}) / m * acc)"
+    return (f"(CASE WHEN {z} > 8 THEN 1.0 WHEN {z} < -8 THEN 0.0 "
+            f"ELSE 0.5 + exp(-({z}) * ({z}) / 2) / sqrt(2 * pi()) * ({z}) * {series} END)")

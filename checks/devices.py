@@ -2,7 +2,7 @@
 from parlance.plans import devices as dv
 
 from .adapters import CHATS, CONTINENTS, MESSAGES, USAGE, chat_log, continents, usage_log
-from .base import Check, big, r6
+from .base import big, Check, normal_sql, r6
 
 
 def used(spark, sf):
@@ -87,8 +87,15 @@ def normality(spark, sf):
         r6("probability"), r6("normal"), r6("sample"))
 
 
-def mann_whitney_sql(source: str) -> str:
-    """Statistics of a table ``source``(value, n1, n2) of counts per value."""
+def test_p(spark, sf):
+    return dv.compare_devices(used(spark, sf)).select(r6("p_value"))
+
+
+def mann_whitney_sql(source: str, p_value: bool = False) -> str:
+    """Statistics of a table ``source``(value, n1, n2) of counts per value, or the p-value."""
+    if p_value:
+        first = mann_whitney_sql(source).split("SELECT CAST(a AS BIGINT)")[0]
+        return f"{first} SELECT round(least(1.0, 2 * (1 - {normal_sql('z')})), 6) AS p_value FROM scored"
     return f"""ranked AS (SELECT *, COALESCE(sum(n2) OVER (ORDER BY value ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below
   FROM {source}), summed AS (
   SELECT CAST(sum(n1) AS DOUBLE) AS a, CAST(sum(n2) AS DOUBLE) AS b, CAST(sum(n1 * (below + n2 / 2)) AS DOUBLE) AS u,
@@ -144,6 +151,9 @@ WITH {USAGE} SELECT device_type, count(turn) AS count, round(avg(turn), 6) AS me
     "compare_devices": Check(test_all, f"""
 WITH {USAGE}, v AS (SELECT turn AS value, {_DESKTOP} AS n1, {_MOBILE} AS n2 FROM usage GROUP BY turn),
 {mann_whitney_sql('v')}"""),
+    "compare_devices_p_value": Check(test_p, f"""
+WITH {USAGE}, v AS (SELECT turn AS value, {_DESKTOP} AS n1, {_MOBILE} AS n2 FROM usage GROUP BY turn),
+{mann_whitney_sql('v', True)}"""),
     "compare_devices_sampled": Check(test_sampled),
     "median_turn_difference": Check(median_interval),
     "turn_normality_table": Check(normality, f"""

@@ -2,7 +2,7 @@
 from parlance.plans import languages as lg
 
 from .adapters import CHATS, MESSAGES, VENDORS, chat_log, vendor_log
-from .base import Check, big, r6, sum_big
+from .base import Check, big, normal_sql, r6, sum_big
 from .devices import mann_whitney_sql
 
 LANGUAGES = ["English", "French", "German", "Spanish"]
@@ -120,8 +120,16 @@ SELECT {sum_big('sw')} AS total_language_switches, count(*) AS total_turns,
     "switch_test": Check(test, f"""{_SWITCH}, v AS (
   SELECT sw AS value, count(*) FILTER (model_tag = 'gpt-3.5') AS n1, count(*) FILTER (model_tag = 'gpt-4') AS n2
   FROM replies WHERE model_tag IN ('gpt-3.5', 'gpt-4') GROUP BY sw), {mann_whitney_sql('v')}"""),
-    "switch_test_p_value": Check(test_p),
+    "switch_test_p_value": Check(test_p, f"""{_SWITCH}, v AS (
+  SELECT sw AS value, count(*) FILTER (model_tag = 'gpt-3.5') AS n1, count(*) FILTER (model_tag = 'gpt-4') AS n2
+  FROM replies WHERE model_tag IN ('gpt-3.5', 'gpt-4') GROUP BY sw), {mann_whitney_sql('v', True)}"""),
     "switch_normality": Check(normality, f"""{_SWITCH}
 SELECT count(*) AS n, round(avg(sw), 6) AS mean, round(stddev_samp(sw), 6) AS std FROM replies WHERE model_tag = 'gpt-4'"""),
-    "switch_normality_distance": Check(normality_distance),
+    # With n d^2 above 10 the p-value is 0 to six digits; otherwise this has no value and differs.
+    "switch_normality_distance": Check(normality_distance, f"""{_SWITCH}, g AS (
+  SELECT count(*) AS n, avg(sw) AS m, stddev_samp(sw) AS s FROM replies WHERE model_tag = 'gpt-4'), c AS (
+  SELECT sw, count(*) AS k, sum(count(*)) OVER (ORDER BY sw) AS upto FROM replies WHERE model_tag = 'gpt-4' GROUP BY sw), d AS (
+  SELECT n, upto / n AS high, (upto - k) / n AS low, (sw - m) / s AS z FROM c, g), e AS (
+  SELECT n, max(greatest(high - {normal_sql('z')}, {normal_sql('z')} - low)) AS d FROM d GROUP BY n)
+SELECT round(d, 6) AS statistic, CASE WHEN n * d * d > 10 THEN CAST(0 AS DOUBLE) END AS p_value FROM e"""),
 }

@@ -98,6 +98,28 @@ def sampled_languages(spark, sf):
     return bernoulli_sample(table(spark, sf, "documents"), 0.5, ["doc_id"]).groupBy("lang").count()
 
 
+def _ruled(spark, sf):
+    """Documents called toxic for two words, beside their labels, by source."""
+    d, lab = table(spark, sf, "documents"), table(spark, sf, "labels")
+    said = F.col("text").contains("idiot") | F.col("text").contains("trash")
+    return d.join(lab, "doc_id").select("source", F.col("toxic").alias("label"), said.cast("int").alias("prediction"))
+
+
+def rule_metrics(spark, sf):
+    """The classifiers' metrics on predictions that SQL can make as well."""
+    return cl.classification_metrics(_ruled(spark, sf), by=["source"]).select(
+        "source", "rows", r6("accuracy"), r6("weighted_precision"), r6("weighted_recall"))
+
+
+def rule_label_metrics(spark, sf):
+    """The label metrics on the same predictions."""
+    scored = _ruled(spark, sf).withColumnRenamed("source", "label_name")
+    return cl.binary_metrics(scored).select("label_name", "rows", r6("accuracy"), r6("precision"), r6("recall"))
+
+
+_RULED = """ruled AS (SELECT source, toxic AS y, CAST(contains(text, 'idiot') OR contains(text, 'trash') AS INT) AS p
+  FROM documents JOIN labels USING (doc_id))"""
+
 _LABELS = " UNION ALL ".join(
     f"SELECT '{name}' AS drawn_for, least(count(*) FILTER ({CATEGORY_COLUMNS[field]}), 1000) AS count FROM verdicts"
     for name, field in hm.MESSAGE_LABELS.items())
@@ -124,6 +146,16 @@ WITH {MESSAGES}, c AS (
 SELECT * FROM c WHERE count > 0"""),
     "label_classifiers": Check(label_classifiers),
     "label_network": Check(label_network),
+    "rule_metrics": Check(rule_metrics, f"""
+WITH {_RULED}, c AS (SELECT source, k, count(*) FILTER (y = k) AS actual, count(*) FILTER (p = k) AS predicted,
+  count(*) FILTER (y = k AND p = k) AS hit FROM ruled, (VALUES (0), (1)) v(k) GROUP BY source, k)
+SELECT source, CAST(sum(actual) AS BIGINT) AS rows, round(sum(hit) / sum(actual), 6) AS accuracy,
+  round(sum(CASE WHEN predicted = 0 THEN 0 ELSE hit / predicted END * actual) / sum(actual), 6) AS weighted_precision,
+  round(sum(hit) / sum(actual), 6) AS weighted_recall FROM c GROUP BY source"""),
+    "rule_label_metrics": Check(rule_label_metrics, f"""
+WITH {_RULED} SELECT source AS label_name, count(*) AS rows, round(avg(CASE WHEN y = p THEN 1.0 ELSE 0.0 END), 6) AS accuracy,
+  round(coalesce(count(*) FILTER (y = 1 AND p = 1) / nullif(count(*) FILTER (p = 1), 0), 0.0), 6) AS precision,
+  round(coalesce(count(*) FILTER (y = 1 AND p = 1) / nullif(count(*) FILTER (y = 1), 0), 0.0), 6) AS recall FROM ruled GROUP BY source"""),
     "hash_split": Check(split_sizes),
     "hash_sample": Check(sampled_languages),
 }

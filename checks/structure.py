@@ -1,13 +1,18 @@
 """Registered queries on the structure of conversations."""
+import uuid
+
 from pyspark.sql import functions as F
 
 from parlance.operators.ranking import row_with_first
 from parlance.plans import structure as st
 from parlance.plans import words
 from parlance.sources import (
-    combine_corpora, distinct_values, one_per_first_turn, one_per_key, row_count, rows_not_in, shared_columns,
+    combine_corpora, distinct_values, one_per_first_turn, one_per_key, read_corpus, read_lines, row_count, rows_not_in,
+    shared_columns, write_csv, write_partitions,
 )
 
+from parlance.operators.lineage import shared_folder
+
 from .adapters import CHATS, MESSAGES, VENDORS, chat_log, table, vendor_log
 from .base import Check, big, r6, sum_big
 
@@ -21,6 +26,24 @@ def document_words(spark, sf):
     return words.word_count(lines)
 
 
+def stored_orders(spark, sf):
+    """Orders written in folders by status, one status written again, read back by the library's reader."""
+    folder = f"{shared_folder(spark)}/orders-{uuid.uuid4().hex}"
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    write_partitions(orders, folder, ["o_orderstatus"], rows_per_file=5000)
+    write_partitions(orders.filter("o_orderstatus = 'F'").withColumn("o_totalprice", F.col("o_totalprice") + 1), folder, ["o_orderstatus"])
+    return read_corpus(spark, folder).groupBy("o_orderstatus").agg(
+        F.count("*").alias("orders"), F.round(F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double"), 2).alias("total"))
+
+
+def stored_words(spark, sf):
+    """Customers written as CSV and read back as lines: the lines that name each segment."""
+    folder = f"{shared_folder(spark)}/customers-{uuid.uuid4().hex}"
+    write_csv(table(spark, sf, "customer").select("c_custkey", "c_mktsegment"), folder)
+    lines = read_lines(spark, folder).select(F.substring_index("value", ",", -1).alias("word"))
+    return lines.filter("word <> 'c_mktsegment'").groupBy("word").count()
+
+
 def repeated_ids(spark, sf):
     messages = table(spark, sf, "conversations")
     return st.duplicate_ids(messages, "conv_id").select("conv_id", big("count"))
@@ -142,6 +165,10 @@ _SPANS = f"""WITH {MESSAGES}, spans AS (
   SELECT conversation_hash, min(mts) AS a, max(mts) AS b, count(*) AS n FROM msgs GROUP BY 1)"""
 
 CHECKS = {
+    "stored_orders": Check(stored_orders, """
+SELECT o_orderstatus, count(*) AS orders, round(CAST(sum(CAST(o_totalprice + CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END
+  AS DECIMAL(18, 2))) AS DOUBLE), 2) AS total FROM orders GROUP BY 1"""),
+    "stored_words": Check(stored_words, "SELECT c_mktsegment AS word, count(*) AS count FROM customer GROUP BY 1"),
     "word_count": Check(document_words, """
 SELECT word, count(*) AS count FROM (SELECT unnest(string_split(line, ' ')) AS word FROM
   (SELECT unnest(string_split(text, chr(10))) AS line FROM documents)) GROUP BY word"""),

@@ -2,25 +2,29 @@
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def settled(df: DataFrame) -> DataFrame:
-    """Compute ``df`` now and continue from the stored result.
-
-    For aggregates that several later steps read: value counts, user profiles. The rows
-    are written as Parquet to the folder named by ``spark.checkpoint.dir``, so later steps
-    read only the columns they use and a lost executor costs nothing but reading them
-    again. Whoever owns the folder clears it. Where it is unset, a local session gets a
-    temporary one and a cluster is refused.
-    """
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """``spark.checkpoint.dir``; a local session without one gets a temporary folder, a cluster is refused."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         folder = tempfile.mkdtemp(prefix="settled-")
         spark.conf.set("spark.checkpoint.dir", folder)
-    path = f"{folder.rstrip('/')}/settled-{uuid.uuid4().hex}"
+    return folder.rstrip("/")
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """Compute ``df`` now and continue from the stored result.
+
+    For aggregates that several later steps read: value counts, user profiles. The rows
+    are written as Parquet to the shared folder, so later steps read only the columns they
+    use and a lost executor costs nothing but reading them again. Whoever owns the folder
+    clears it.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/settled-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.parquet(path)

@@ -55,7 +55,7 @@ def test_filters_reach_the_scan(spark, stored):
 
 RELATIONAL = [
     name for name, check in all_checks().items()
-    if check.sql and name not in ("compare_devices", "switch_test", "switch_normality")]
+    if check.sql and not name.startswith(("compare_devices", "switch_test", "switch_normality"))]
 
 
 @pytest.mark.parametrize("name", RELATIONAL)
