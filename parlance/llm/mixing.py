@@ -10,7 +10,8 @@ those closest to one copy each; they are exponentially tilted in the document's
 Newton steps are kept inside a bracket and evaluated by Spark over counts per
 (source, size), so that a source with a third of all rows is only a longer list of sizes.
 Rates are then rounded to copies: the rounding error of a source is carried from size to
-size, and which of equally large documents get one copy more is decided by a hash.
+size, and which of equally large documents get one copy more is decided by a hash of the
+whole row; rows that are equal throughout are numbered, and the first of them take it.
 """
 import math
 
@@ -135,41 +136,58 @@ def _whole_copies(rates: DataFrame, cap: int) -> DataFrame:
 
 
 def _thresholds(light: DataFrame, sizes: DataFrame) -> DataFrame:
-    """Adds to each size the hash up to which its documents get one copy more.
+    """Adds to each size ``last``, the hash up to which its documents get one copy more, and
+    ``tied`` and ``open``: how many rows have just that hash and how many of them get it.
 
     An order statistic of the hashes: a size's rows are counted in cells of hash ranges,
-    about ``CELL_ROWS`` each, and only the cell that holds the wanted place is sorted.
+    about ``CELL_ROWS`` each, and only the cell that holds the wanted place is sorted, with
+    one row per different hash.
     """
     key = ["source", "size"]
     wanted = sizes.filter("extra > 0").select(
         F.col("source").alias("s"), F.col("size").alias("z"), "extra", F.ceil(F.col("n") / CELL_ROWS).alias("cells"))
     same = F.col("source").eqNullSafe(F.col("s")) & (F.col("size") == F.col("z"))
-    u = F.shiftrightunsigned("h", 11) * F.lit(2.0 ** -53)
-    celled = light.join(small(wanted), same).withColumn("cell", F.floor(u * F.col("cells"))).drop("s", "z")
+    celled = light.withColumn("u", F.shiftrightunsigned("h", 11)).join(small(wanted), same).withColumn(
+        "cell", F.floor(F.col("u") * F.lit(2.0 ** -53) * F.col("cells"))).drop("s", "z")
     counted = celled.groupBy(*key, "cell").agg(F.count("*").alias("m"), F.first("extra").alias("extra"))
     upto = F.sum("m").over(Window.partitionBy(*key).orderBy("cell"))
     place = counted.withColumn("need", F.col("extra") - (upto - F.col("m"))).filter("need > 0 AND need <= m").select(
         F.col("source").alias("s"), F.col("size").alias("z"), F.col("cell").alias("c"), "need")
-    ranked = celled.join(place, same & (F.col("cell") == F.col("c"))).withColumn(
-        "place", F.row_number().over(Window.partitionBy(*key, "cell").orderBy(F.shiftrightunsigned("h", 11))))
-    found = ranked.filter("place = need").select(
-        F.col("source").alias("s"), F.col("size").alias("z"), F.shiftrightunsigned("h", 11).alias("last"))
+    hashes = celled.join(place, same & (F.col("cell") == F.col("c"))).groupBy(*key, "cell", "u").agg(
+        F.count("*").alias("tied"), F.first("need").alias("need"))
+    ranked = hashes.withColumn("open", F.col("need") - F.sum("tied").over(
+        Window.partitionBy(*key, "cell").orderBy("u")) + F.col("tied"))
+    found = ranked.filter("open > 0 AND open <= tied").select(
+        F.col("source").alias("s"), F.col("size").alias("z"), F.col("u").alias("last"), "tied", "open")
     return sizes.join(found, same, "left").drop("s", "z")
 
 
-def mix(df: DataFrame, id_col: str = "doc_id", source: str = "source", text: str = "text", weights=(1, 2, 3),
-        cap: int = CAP, seed: int = 42) -> DataFrame:
-    """The rows of ``df`` with ``mix_``: size, source_size, target, rate, copies, taken.
+def _numbered(tied: DataFrame) -> DataFrame:
+    """Adds ``place``, from 1 within each ``(source, size)`` of the rows that share a hash.
 
-    ``mix_.copies`` is the rounded rate and ``mix_.taken`` is copies times size; empty and
-    NULL texts have size 0 and no copies. A NULL source is a source of its own. Which of
-    several equally large documents of a source get one copy more is decided by a hash of
-    id and seed, so reruns agree; rows that repeat an id are treated alike. Extra columns
-    are kept whatever their names (``mix_`` excepted). An empty table gives an empty one.
+    Rows are numbered inside the partitions they are stored in, and partitions are added up,
+    so a group of any size is nowhere numbered as a whole.
     """
+    key = ["k.source", "k.size"]
+    parts = stored(tied.withColumn("part", F.spark_partition_id()).withColumn("at", F.monotonically_increasing_id()))
+    counted = parts.groupBy(*key, "part").agg(F.count("*").alias("m"))
+    before = F.sum("m").over(Window.partitionBy("source", "size").orderBy("part")) - F.col("m")
+    starts = counted.select(F.col("source").alias("s"), F.col("size").alias("z"), F.col("part").alias("b"),
+                            before.alias("before"))
+    inside = F.row_number().over(Window.partitionBy(*key, "part").orderBy("at"))
+    same = (F.col("k.source").eqNullSafe(F.col("s")) & (F.col("k.size") == F.col("z")) & (F.col("part") == F.col("b")))
+    return parts.withColumn("inside", inside).join(starts, same).withColumn(
+        "place", F.col("before") + F.col("inside")).drop("part", "at", "inside", "before", "s", "z", "b")
+
+
+def _mix(df: DataFrame, id_col: str, source: str, text: str, weights, cap: int, seed: int) -> DataFrame:
+    """``(row, mix)``: every row of ``df`` and its part of the mix, see ``mix``."""
+    # Maps and variants cannot be hashed; rows that differ in them only count as equal.
+    hashed = [F.col(f"`{f.name}`") for f in df.schema
+              if not any(t in f.dataType.simpleString() for t in ("map<", "variant"))]
     key = F.struct(
         F.col(f"`{source}`").cast("string").alias("source"), n_words(text).alias("size"),
-        F.xxhash64(F.lit(seed), F.col(f"`{id_col}`")).alias("h"))
+        F.xxhash64(F.lit(seed), F.col(f"`{id_col}`"), *hashed).alias("h"))
     light = stored(df.select(key.alias("k")).select("k.*"))
     counts = stored(light.groupBy("source", "size").agg(F.count("*").alias("n")))
     totals = counts.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"))
@@ -177,21 +195,51 @@ def mix(df: DataFrame, id_col: str = "doc_id", source: str = "source", text: str
     sizes = stored(_whole_copies(balanced_rates(counts, targets, cap), cap))
     plan = _thresholds(light, sizes)
     goal = targets.select(F.col("source").alias("g"), "source_size", "target")
+    none = F.lit(None).cast("long")
     nothing = counts.filter("size = 0").select(
-        "source", "size", F.lit(0.0).alias("rate"), F.lit(0).cast("long").alias("base"), F.lit(None).cast("long").alias("last"))
-    plan = stored(plan.select("source", "size", "rate", "base", "last").union(nothing)
+        "source", "size", F.lit(0.0).alias("rate"), F.lit(0).cast("long").alias("base"), none.alias("last"),
+        none.alias("tied"), none.alias("open"))
+    plan = stored(plan.select("source", "size", "rate", "base", "last", "tied", "open").union(nothing)
                   .join(goal, F.col("source").eqNullSafe(F.col("g"))).select(
-        F.col("source").alias("p_source"), F.col("size").alias("p_size"), "rate", "base", "last", "source_size", "target"))
+        F.col("source").alias("p_source"), F.col("size").alias("p_size"), "rate", "base", "last", "tied", "open",
+        "source_size", "target"))
     rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), key.alias("k"))
-    more = F.when(F.shiftrightunsigned("k.h", 11) <= F.col("last"), 1).otherwise(0)
-    copies = (F.col("base") + more).cast("long")
-    taken = rows.join(small(plan), F.col("k.source").eqNullSafe(F.col("p_source")) & (F.col("k.size") == F.col("p_size")))
-    return taken.select("row.*", F.struct(
-        F.col("k.size").alias("size"), "source_size", "target", "rate", copies.alias("copies"),
-        (copies * F.col("k.size")).alias("taken")).alias("mix_"))
-
-
-def mixed(df: DataFrame, **options) -> DataFrame:
-    """Every row of ``df`` as often as the mix takes it; columns as they are."""
-    return mix(df, **options).filter("mix_.copies > 0").withColumn(
-        "mix_", F.explode(F.array_repeat(F.lit(1), F.col("mix_.copies").cast("int")))).drop("mix_")
+    planned = rows.join(small(plan), F.col("k.source").eqNullSafe(F.col("p_source")) & (F.col("k.size") == F.col("p_size")))
+    u = F.shiftrightunsigned("k.h", 11)
+
+    def with_copies(some, more):
+        copies = (F.col("base") + F.when(more, 1).otherwise(0)).cast("long")
+        return some.select("row", F.struct(
+            F.col("k.size").alias("size"), "source_size", "target", "rate", copies.alias("copies"),
+            (copies * F.col("k.size")).alias("taken")).alias("mix"))
+
+    if plan.filter("open < tied").isEmpty():
+        return with_copies(planned, u <= F.col("last"))
+    shared = F.coalesce((u == F.col("last")) & (F.col("open") < F.col("tied")), F.lit(False))
+    return with_copies(planned.filter(~shared), u <= F.col("last")).union(
+        with_copies(_numbered(planned.filter(shared)), F.col("place") <= F.col("open")))
+
+
+def mix(df: DataFrame, id_col: str = "doc_id", source: str = "source", text: str = "text", weights=(1, 2, 3),
+        cap: int = CAP, seed: int = 42) -> DataFrame:
+    """The rows of ``df`` with ``mix_``: size, source_size, target, rate, copies, taken.
+
+    ``mix_.copies`` is the rounded rate and ``mix_.taken`` is copies times size; empty and
+    NULL texts have size 0 and no copies. A NULL source is a source of its own. Which of
+    several equally large documents of a source get one copy more is decided by a hash of
+    seed and row, so reruns agree; of rows that are equal throughout just as many get it as
+    the target needs, also where ids are NULL or repeated. Extra columns are kept whatever
+    their names (``mix_`` excepted). An empty table gives an empty one. Jobs run when called.
+    """
+    return _mix(df, id_col, source, text, weights, cap, seed).select("row.*", F.col("mix").alias("mix_"))
+
+
+def mixed(df: DataFrame, id_col: str = "doc_id", source: str = "source", text: str = "text", weights=(1, 2, 3),
+          cap: int = CAP, seed: int = 42) -> DataFrame:
+    """Every row of ``df`` as often as the mix takes it; columns as they are, whatever their names.
+
+    Rows without words (NULL and empty texts too) are never taken. NULL sources and ids,
+    ties, repeated rows and empty tables: see ``mix``.
+    """
+    taken = _mix(df, id_col, source, text, weights, cap, seed).filter("mix.copies > 0")
+    return taken.select("row", F.explode(F.array_repeat(F.lit(1), F.col("mix.copies").cast("int"))).alias("copy")).select("row.*")

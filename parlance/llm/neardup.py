@@ -249,12 +249,16 @@ def deduplicated(df: DataFrame, id_col: str = "doc_id", text: str = "text", widt
                  percent: int = 80) -> DataFrame:
     """One document of each group: the one whose id names the group; NULL ids all stay.
 
-    Where rows repeat an id, one of them stays, that with the smallest text.
+    Where rows repeat an id, one of them stays, that with the smallest text. NULL and empty
+    texts are linked with nothing and stay. Whole texts of any length are compared. Extra
+    columns stay, whatever their names. An empty table gives an empty one.
     """
     groups = stored(near_duplicates(df, id_col, text, width, percent).filter(f"`{id_col}` IS NOT NULL"))
-    kept = groups.filter(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("kept_")).distinct()
-    known, unknown = df.filter(F.col(id_col).isNotNull()), df.filter(F.col(id_col).isNull())
+    heads = groups.filter(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("head")).distinct()
+    # Rows travel as one struct, so that no column of theirs meets a name used here.
+    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"),
+                     F.col(f"`{id_col}`").alias("id"), F.col(f"`{text}`").alias("t"))
+    known, unknown = rows.filter("id IS NOT NULL").select("row", "id", "t"), rows.filter("id IS NULL").select("row")
     if not groups.groupBy(id_col).count().filter("count > 1").isEmpty():
-        row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
-        known = known.groupBy(F.col(id_col).alias("k_")).agg(F.min_by(row, F.coalesce(F.col(f"`{text}`"), F.lit(""))).alias("r_")).select("r_.*")
-    return known.join(kept, known[id_col] == F.col("kept_"), "left_semi").union(unknown)
+        known = known.groupBy("id").agg(F.min_by("row", F.coalesce("t", F.lit(""))).alias("row"))
+    return known.join(heads, F.col("id") == F.col("head"), "left_semi").select("row").union(unknown).select("row.*")

@@ -232,13 +232,8 @@ def pseudonym(v: Column, kind: Column, key: Column) -> Column:
     return out
 
 
-def pseudonymised(df: DataFrame, key: str, text: str = "text") -> DataFrame:
-    """``df`` with ``text`` rewritten and ``pii_`` added: ``found``, ``changed`` (longs).
-
-    NULL stays NULL, texts without personal data stay as they are, whole texts of any
-    length are scanned. Rows are independent: repeated rows give repeated results. Extra
-    columns stay, whatever their names, except ``pii_``.
-    """
+def _rewritten(df: DataFrame, key: str, text: str) -> tuple[DataFrame, list[Column], Column]:
+    """A table, the columns of ``df`` over it with ``text`` rewritten, and ``(found, changed)``."""
     t = F.col(f"`{text}`")
     maybe = t.rlike(MAYBE)
     k = F.lit(key)
@@ -254,5 +249,21 @@ def pseudonymised(df: DataFrame, key: str, text: str = "text") -> DataFrame:
     rewritten = F.when(F.size("found") > 0, spliced).otherwise(F.col("t"))
     changed = F.size(F.filter(F.zip_with("found", "new", lambda a, b: a != b), lambda c: c))
     out = [rewritten.alias(c) if c == text else F.col(f"row.`{c}`").alias(c) for c in df.columns]
-    return named.select(*out, F.struct(F.size("found").cast("long").alias("found"),
-                                       changed.cast("long").alias("changed")).alias("pii_"))
+    return named, out, F.struct(F.size("found").cast("long").alias("found"), changed.cast("long").alias("changed"))
+
+
+def pseudonymised(df: DataFrame, key: str, text: str = "text") -> DataFrame:
+    """``df`` with ``text`` rewritten and ``pii_`` added: ``found``, ``changed`` (longs).
+
+    NULL stays NULL, texts without personal data stay as they are, whole texts of any
+    length are scanned. Rows are independent: repeated rows give repeated results. Extra
+    columns stay, whatever their names, except ``pii_``. An empty table gives an empty one.
+    """
+    named, out, counts = _rewritten(df, key, text)
+    return named.select(*out, counts.alias("pii_"))
+
+
+def rewritten(df: DataFrame, key: str, text: str = "text") -> DataFrame:
+    """``df`` with ``text`` rewritten as by ``pseudonymised``, its columns only, whatever their names."""
+    named, out, _ = _rewritten(df, key, text)
+    return named.select(*out)

@@ -60,6 +60,16 @@ def test_pii(spark):
     assert pii.pseudonymised(documents(spark, []), "key").count() == 0
 
 
+def test_columns_named_as_inside_the_operators_stay(spark):
+    names = ["kept_", "k_", "r_", "t_", "id_", "mix_", "pii_", "mix", "copy", "head", "h", "size", "u", "place", "new", "seen", "map"]
+    docs = documents(spark, [(1, "one two", "a", "en"), (1, "one two", "a", "en"), (None, "mail a@b.org", None, None)])
+    docs = docs.withColumns({n: F.lit(n) for n in names}).withColumn("map", F.create_map(F.lit("k"), F.lit("v")))
+    for out in (neardup.deduplicated(docs), mixing.mixed(docs), pii.rewritten(docs, "key")):
+        assert out.columns == docs.columns
+        assert all(r["kept_"] == "kept_" and r["mix_"] == "mix_" and r["pii_"] == "pii_" for r in out.collect())
+    assert neardup.deduplicated(docs).count() == 2
+
+
 def test_mixing(spark):
     rows = mixing.mix(documents(spark)).select("doc_id", "source", "mix_").collect()
     assert ids(rows) == ALL
@@ -67,7 +77,7 @@ def test_mixing(spark):
         m = r["mix_"]
         assert 0 <= m["copies"] <= 3 and m["taken"] == m["copies"] * m["size"]
     same = [r["mix_"] for r in rows if r["doc_id"] == BIG]
-    assert same[0] == same[1]
+    assert same[0]["rate"] == same[1]["rate"] and abs(same[0]["copies"] - same[1]["copies"]) <= 1
     assert mixing.mixed(documents(spark)).columns == documents(spark).columns
     assert mixing.mix(documents(spark, [])).count() == 0
     only_empty = mixing.mix(documents(spark, [(1, "", "a", "en"), (2, None, None, "en")])).collect()

@@ -255,6 +255,23 @@ def test_mix_meets_targets(spark):
     assert {r[0]: r[1] for r in again} == {r["doc_id"]: r["taken"] for r in got}
 
 
+def test_rows_of_one_id_are_split_by_counts(spark):
+    """Equal ids, and rows equal throughout, take as many copies as the target needs, not all or none."""
+    rows = [(None, f"{i} " + "w " * 9, "a") for i in range(300)] + [(7, "v " * 10, "b")] * 500
+    rows += [(None, "x " * 10, None)] * 700
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mixing.mix(df.repartition(5)).groupBy("source").agg(
+        F.max("mix_.target").alias("target"), F.sum("mix_.taken").alias("taken"),
+        F.max("mix_.copies").alias("most"), F.min("mix_.copies").alias("least"), F.count("*").alias("n")).collect()
+    assert {r["source"]: r["n"] for r in got} == {"a": 300, "b": 500, None: 700}
+    for r in got:
+        assert abs(r["taken"] - r["target"]) <= 10 and r["most"] - r["least"] <= 1
+    # The rows that took one more are the same in any order of the table.
+    taken = [sorted(map(tuple, mixing.mix(d).select(F.hash("doc_id", "text"), "mix_.copies").collect()))
+             for d in (df, df.repartition(3, "text"))]
+    assert taken[0] == taken[1]
+
+
 def test_rates_solve_the_dual(spark):
     """At the optimum log(rate * (cap - 1) / (cap - rate)) is proportional to the size."""
     counts = spark.createDataFrame([("a", s, 10) for s in (5, 20, 50, 200)] + [("b", 7, 3), ("b", 90, 4)], "source string, size long, n long")
