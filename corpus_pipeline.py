@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from parlance.llm.mixing import mixed
 from parlance.llm.neardup import deduplicated
 from parlance.llm.packing import pack
-from parlance.llm.pii import pseudonymised
+from parlance.llm.pii import rewritten
 from parlance.llm.quality import apply_policy
 from parlance.llm.store import stored
 
@@ -28,7 +28,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data replaced by pseudonyms of the same format."""
-    return pseudonymised(docs, KEY).drop("pii_")
+    return rewritten(docs, KEY)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
