@@ -358,9 +358,26 @@ def test_held_out_accuracy(spark):
     assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) for r in rows)
 
 
-def test_cover_is_small():
-    texts = [["a", "x"], ["a", "y"], ["a"], ["b"], ["b", "x"]] * 3
-    assert toxicity.cover(texts, ["a", "b", "x", "y"], times=1) == ["a", "b"]
+def test_pieces_are_chosen_by_compressed_length(spark):
+    """Unknown words of toxic texts train the toxic dictionary, also in runs of 1,000 characters and more."""
+    rng = random.Random(5)
+    common = ["".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(40)]
+    docs, labels = [], []
+    for i in range(400):
+        words = rng.choices(common, k=60)
+        if i % 4 == 0:
+            words[rng.randrange(60)] = words[rng.randrange(60)] = "zwyxquvk"
+        if i % 50 == 0:
+            words[3] = "x" * 3000
+        docs.append((i, " ".join(words)))
+        labels.append((i, int(i % 4 == 0)))
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    model = toxicity.fit(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    assert b"zwyxquvk" in model.toxic and b"zwyxquvk" not in model.ordinary
+    rows = toxicity.scored(docs, model).collect()
+    assert all(r["predicted"] == (r["doc_id"] % 4 == 0) for r in rows)
+    assert [w for t in ("a " * 7, "x" * 250, "", None) for w in toxicity.windows(t)] == [
+        ["a"] * 6, ["a"], ["x" * 100, "x" * 100, "x" * 50]]
 
 
 # -- web pages
