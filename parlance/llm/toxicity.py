@@ -74,6 +74,7 @@ def compressor(content: bytes):
     """Compressor with a dictionary's content and frames without headers."""
     import zstandard
     kept = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+    kept.precompute_compress(level=LEVEL)
     return zstandard.ZstdCompressor(level=LEVEL, dict_data=kept, write_content_size=False,
                                     write_checksum=False, write_dict_id=False)
 
