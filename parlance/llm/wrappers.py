@@ -38,33 +38,76 @@ notices popup modal newsletter subscribe subscription signup login comment comme
 social related recommended recommendations pagination pager toolbar skip topbar""".split())
 OUTSIDE = {"header", "banner"}  # only outside an article
 MAIN = {"article", "main"}
+# Names that topics bear as well, and those of reader comments unless they state whether one may comment.
+TOPICS = {"related", "recommended", "social", "share", "sharing", "notice", "notices", "promotion", "subscription"}
+COMMENTS = {"comment", "comments", "reply", "replies"}
+STATES = {"open", "closed", "enabled", "disabled", "has", "no"}
 _PART = re.compile(r"[A-Za-z]+")
 _DIGITS = re.compile(r"[0-9]+")
 
 
+def name_parts(label: str) -> set:
+    """Words of class and id, parted at signs, numbers and capitals."""
+    return {p.lower() for p in _PART.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", label))}
+
+
+def is_comment(node) -> bool:
+    """An article that by its name is a reader comment."""
+    parts = name_parts(node.label)
+    return bool(parts & COMMENTS) and not parts & STATES
+
+
+def is_prose(node) -> bool:
+    """Holds more text in paragraphs than in links."""
+    prose, links, todo = 0, 0, [(node, False, False)]
+    while todo:
+        n, in_paragraph, in_link = todo.pop()
+        for c in n.children:
+            if not isinstance(c, str):
+                todo.append((c, in_paragraph or c.tag in ("p", "blockquote", "pre"), in_link or c.tag == "a"))
+            elif in_link:
+                links += len(c.strip())
+            elif in_paragraph:
+                prose += len(c.strip())
+    return prose > links
+
+
 def containers(root) -> tuple[set, set]:
-    """Nodes that hold a main element, and those that hold an article outside of articles, with both themselves."""
-    mains, articles, todo = set(), set(), [(root, False)]
+    """Nodes that hold a main element, and those that hold an article outside of articles, with both themselves.
+
+    Articles that are reader comments do not count beside others.
+    """
+    found, todo = [], [(root, False)]
     while todo:
         node, within = todo.pop()
         if node.tag == "main" or node.tag == "article" and not within:
-            into, up = mains if node.tag == "main" else articles, node
-            while up is not None and id(up) not in into:
-                into.add(id(up))
-                up = up.parent
+            found.append(node)
         within = within or node.tag == "article"
         todo.extend((c, within) for c in node.children if not isinstance(c, str))
+    own = [n for n in found if n.tag == "article" and not is_comment(n)]
+    mains, articles = set(), set()
+    for node in found:
+        if node.tag == "article" and own and is_comment(node):
+            continue
+        into, up = mains if node.tag == "main" else articles, node
+        while up is not None and id(up) not in into:
+            into.add(id(up))
+            up = up.parent
     return mains, articles
 
 
-def set_apart(node, in_article: bool, holding=(frozenset(), frozenset()), whole: bool = False) -> bool:
+def set_apart(node, in_article: bool, holding=(frozenset(), frozenset()), whole: bool = False,
+              forms: bool = True) -> bool:
     """Marked by element, role or name as something else than main text.
 
     Names do not count for the page, its body and what holds a main element. For what holds
     an article, and everywhere if ``whole``, only a class or id that is a name as a whole
-    counts: ``comments``, but not ``has-comments``.
+    counts: ``comments``, but not ``has-comments``. Inside an article, names that topics bear too
+    (``related-work``) do not count for what is mostly paragraphs, unless they are the whole name.
+    A form around a main element or an article is as the body, and any form if not ``forms``.
     """
-    if node.tag in APART or node.role in ROLES:
+    page_form = node.tag == "form" and (not forms or id(node) in holding[0] or id(node) in holding[1])
+    if (node.tag in APART or node.role in ROLES) and not page_form:
         return True
     if not in_article and node.tag == "header":
         return True
@@ -73,8 +116,10 @@ def set_apart(node, in_article: bool, holding=(frozenset(), frozenset()), whole:
     if whole or id(node) in holding[1]:
         names = set(node.label.lower().split())
         return bool(names & NAMES) or (not in_article and bool(names & OUTSIDE))
-    parts = {p.lower() for p in _PART.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", node.label))}
-    return bool(parts & NAMES) or (not in_article and bool(parts & OUTSIDE))
+    parts = name_parts(node.label) & NAMES
+    if in_article and parts and parts <= TOPICS and not set(node.label.lower().split()) & NAMES and is_prose(node):
+        return False
+    return bool(parts) or (not in_article and bool(name_parts(node.label) & OUTSIDE))
 
 
 def step_of(node) -> str:
@@ -219,15 +264,17 @@ def main_text(html: str, template=frozenset()) -> str:
     """Blocks of main text, joined by empty lines; '' if there is none.
 
     If parts of names leave no text at all, as where they mark the element around the
-    whole page, only whole names count.
+    whole page, only whole names count; if there is none then, forms are read as well, as
+    some pages are one form.
     """
     root = parsed(html or "")
     holding = containers(root)
     return (_blocks(root, template, True, holding) or _blocks(root, template, False, holding)
-            or _blocks(root, template, True, holding, True) or _blocks(root, template, False, holding, True))
+            or _blocks(root, template, True, holding, True) or _blocks(root, template, False, holding, True)
+            or _blocks(root, template, False, holding, True, False))
 
 
-def _blocks(root, template, only_main, holding, whole=False):
+def _blocks(root, template, only_main, holding, whole=False, forms=True):
     out, words = [], []
 
     def end():
@@ -261,7 +308,7 @@ def _blocks(root, template, only_main, holding, whole=False):
             # Folding passes over inline elements and what is nested very deeply, so paths do as well.
             below = f"{path}/{step_of(child)}" if child.tag in BLOCK and path.count("/") <= DEPTH else path
             fixed = below is not path and below in template and (child.label or not deeper)
-            if not set_apart(child, deeper, holding, whole) and not fixed:
+            if not set_apart(child, deeper, holding, whole, forms) and not fixed:
                 todo.append((child, 0, below, deeper))
             elif child.tag in BLOCK:
                 end()

@@ -416,6 +416,20 @@ def test_names_on_containers_do_not_drop_the_page(page):
     assert wrappers.main_text('<body><div class="sidebar">no</div></body>') == ""
 
 
+@pytest.mark.parametrize("page,text", [
+    ('<form id="aspnetForm"><div><p>One.</p><p>Two.</p></div><input value="x"></form>', "One.\n\nTwo."),
+    ('<form id="aspnetForm"><article><p>One.</p></article></form><form><p>Mail</p></form>', "One."),
+    ('<article><p>One.</p><section class="related-work"><p>Two by <a href="#">her</a>, in full.</p></section>'
+     '<div class="social-science"><p>Three.</p></div><div class="related-posts"><p><a href="#">Other page</a></p></div>'
+     '<div class="social"><p>Follow us.</p></div></article>', "One.\n\nTwo by her, in full.\n\nThree."),
+    ('<article class="post comments-open"><p>One.</p></article><div class="comment-area">'
+     '<article class="comment-item"><p>Nice!</p></article></div>', "One."),
+    ('<article class="comment-item"><p>One.</p></article>', "One."),
+])
+def test_forms_topics_and_comments(page, text):
+    assert wrappers.main_text(f"<html><body>{page}</body></html>") == text
+
+
 def test_copies_of_a_page_do_not_fill_a_block(spark, monkeypatch):
     votes = wrappers._votes
 
