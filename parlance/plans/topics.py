@@ -1,6 +1,9 @@
 """Topics of conversation texts."""
+import math
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import LDA, LDAModel
 from pyspark.ml.feature import CountVectorizer, CountVectorizerModel, RegexTokenizer, StopWordsRemover
@@ -26,6 +29,34 @@ def dominant_topic(distribution="topicDistribution") -> Column:
     return (F.array_position(weights, F.array_max(weights)) - 1).cast("int")
 
 
+def _digamma(x):
+    """Derivative of the log gamma function, for positive values."""
+    shift = sum(1 / (x + i) for i in range(10))
+    y = 1 / (x + 10) ** 2
+    series = y * (1 / 12 - y * (1 / 120 - y * (1 / 252 - y * (1 / 240 - y / 132))))
+    return np.log(x + 10) - 0.5 / (x + 10) - series - shift
+
+
+def _log_gamma(x):
+    return np.array([math.lgamma(v) for v in x.flat]).reshape(x.shape)
+
+
+def _text_bounds(indices, counts, texts, gamma, alpha, log_beta):
+    """Bound on the log likelihood of each text.
+
+    ``indices``, ``counts`` and ``texts`` name the terms, how often, and the text they are in;
+    ``gamma`` has the Dirichlet weights of the texts' topics, one row a text.
+    """
+    log_theta = _digamma(gamma) - _digamma(gamma.sum(axis=1, keepdims=True))
+    terms = log_theta[texts] + log_beta[indices]
+    top = terms.max(axis=1)
+    likely = top + np.log(np.exp(terms - top[:, None]).sum(axis=1))
+    bounds = np.bincount(texts, weights=counts * likely, minlength=len(gamma))
+    bounds += ((alpha - gamma) * log_theta).sum(axis=1)
+    bounds += (_log_gamma(gamma) - _log_gamma(alpha)).sum(axis=1)
+    return bounds + math.lgamma(alpha.sum()) - _log_gamma(gamma.sum(axis=1))
+
+
 @dataclass
 class TopicModel:
     """A fitted topic model with its vocabulary and the texts it was fitted on."""
@@ -52,9 +83,36 @@ class TopicModel:
         return self.model.transform(self.features).withColumn("dominant_topic", dominant_topic())
 
     def metrics(self) -> dict[str, float]:
-        """Bound on log perplexity and log likelihood of the fitted texts."""
-        return {"log_perplexity": self.model.logPerplexity(self.features),
-                "log_likelihood": self.model.logLikelihood(self.features)}
+        """Bound on log perplexity and log likelihood of the fitted texts.
+
+        The bound of ``LDAModel.logLikelihood``, from one pass over the texts: the weights of a
+        text's topics follow from its distribution, as they sum to its terms and the prior. Each
+        text starts from the model's seed, so the values do not depend on the partitions.
+        """
+        alpha = self.model.estimatedDocConcentration().toArray()
+        eta, weights = self.model.getTopicConcentration(), self.model.topicsMatrix().toArray()
+        log_beta = _digamma(weights) - _digamma(weights.sum(axis=0))
+
+        def run(batches):
+            for batch in batches:
+                # A vector is a struct in Arrow; that of a text without terms has empty lists.
+                indices, counts = [batch.column("features").field(k) for k in ("indices", "values")]
+                lengths = indices.value_lengths().to_numpy()
+                found = lengths > 0
+                texts = np.repeat(np.arange(found.sum()), lengths[found])
+                counts = counts.flatten().to_numpy()
+                sizes = np.bincount(texts, weights=counts, minlength=found.sum())
+                shares = batch.column("shares").flatten().to_numpy().reshape(len(found), -1)[found]
+                gamma = shares * (sizes + alpha.sum())[:, None]
+                bounds = _text_bounds(indices.flatten().to_numpy(), counts, texts, gamma, alpha, log_beta)
+                yield pa.RecordBatch.from_pydict({"bound": bounds, "terms": sizes})
+
+        found = self.model.transform(self.features.select("features")).select(
+            "features", vector_to_array("topicDistribution").alias("shares")).mapInArrow(run, "bound double, terms double")
+        bound, terms = found.agg(F.coalesce(F.sum("bound"), F.lit(0.0)), F.coalesce(F.sum("terms"), F.lit(0.0))).first()
+        bound += ((eta - weights) * log_beta).sum() + (_log_gamma(weights) - math.lgamma(eta)).sum()
+        bound += weights.shape[1] * math.lgamma(eta * len(weights)) - _log_gamma(weights.sum(axis=0)).sum()
+        return {"log_perplexity": float(-np.float64(bound) / terms), "log_likelihood": float(bound)}
 
 
 def fit_topics(spark: SparkSession, texts: DataFrame, text: str = "full_text", topics: int = 10,
@@ -73,8 +131,8 @@ def fit_topics(spark: SparkSession, texts: DataFrame, text: str = "full_text", t
     remover = StopWordsRemover(inputCol="words", outputCol="filtered_words")
     counter = CountVectorizer(inputCol="filtered_words", outputCol="features",
                               vocabSize=vocabulary, minDF=min_documents)
-    # The words are read twice, for the vocabulary and for the counts.
     texts = PipelineModel(stages=[words, remover]).transform(texts).drop("words")
+    # The words are read twice, for the vocabulary and for the counts.
     texts = texts.persist()
     prepared = Pipeline(stages=[counter]).fit(texts)
     # Terms of equal count come in no fixed order, on which the start of the topics
@@ -84,7 +142,7 @@ def fit_topics(spark: SparkSession, texts: DataFrame, text: str = "full_text", t
     features = counted.transform(texts)
     counts = features.select("features").persist()
     try:
-        model = LDA(k=topics, maxIter=iterations, featuresCol="features",
+        model = LDA(k=topics, maxIter=iterations, featuresCol="features", topicConcentration=1 / topics,
                     optimizeDocConcentration=True, seed=seed).fit(counts)
     finally:
         counts.unpersist()

@@ -91,6 +91,18 @@ def test_topics(spark):
     assert [tuple(r) for r in again.terms(3).collect()] == [tuple(r) for r in terms]
 
 
+def test_topic_metrics_are_the_models_own_whatever_the_partitions(spark):
+    texts = ["cat dog cat bird, dog!"] * 10 + ["stock bond market. stock price"] * 10 + ["", "unknown"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, full_text string")
+    model = topics.fit_topics(spark, df, topics=2, iterations=15)
+    found = model.metrics()
+    assert found["log_likelihood"] == pytest.approx(model.model.logLikelihood(model.features), rel=1e-3)
+    assert found["log_perplexity"] == pytest.approx(model.model.logPerplexity(model.features), rel=1e-3)
+    for parts in (1, 5):  # starting values by row number gave other values for other partitions
+        moved = topics.TopicModel(spark, model.model, model.vocabulary, model.features.repartition(parts, "id"))
+        assert moved.metrics() == pytest.approx(found, rel=1e-12)
+
+
 def test_dominant_topic_takes_the_first_of_equals(spark):
     df = spark.createDataFrame([(Vectors.dense([0.4, 0.4, 0.2]),), (Vectors.dense([0.1, 0.2, 0.7]),)], ["topicDistribution"])
     assert [r[0] for r in df.select(topics.dominant_topic()).collect()] == [0, 2]
