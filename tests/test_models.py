@@ -4,6 +4,7 @@ import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
+from pyspark.sql.classic.dataframe import DataFrame
 
 from parlance.plans import classify, harm, topics
 
@@ -103,6 +104,18 @@ def test_topic_metrics_are_the_models_own_whatever_the_partitions(spark):
         assert moved.metrics() == pytest.approx(found, rel=1e-12)
 
 
+def test_topics_keep_words_only_and_drop_the_same_characters(spark, monkeypatch):
+    kept, persist = [], DataFrame.persist
+    monkeypatch.setattr(DataFrame, "persist", lambda df, *level: (kept.append(df.columns), persist(df, *level))[1])
+    df = spark.createDataFrame([(i, "cat dog") for i in range(4)], "id int, full_text string")
+    topics.fit_topics(spark, df, topics=2, iterations=1)
+    assert kept == [["filtered_words"], ["features"]]
+    codes = spark.createDataFrame([("".join(map(chr, range(k, k + 64))),) for k in range(0, 0x3000, 64)], "t string")
+    slow = F.regexp_replace("t", r"[^a-zA-Z0-9\s]", "")
+    assert codes.filter(slow != F.regexp_replace("t", topics.PUNCTUATION, "")).isEmpty()
+    assert not any(k in topics.PUNCTUATION for k in ("a-z", r"\s"))  # those take fifteen times as long
+
+
 def test_dominant_topic_takes_the_first_of_equals(spark):
     df = spark.createDataFrame([(Vectors.dense([0.4, 0.4, 0.2]),), (Vectors.dense([0.1, 0.2, 0.7]),)], ["topicDistribution"])
     assert [r[0] for r in df.select(topics.dominant_topic()).collect()] == [0, 2]
