@@ -14,7 +14,7 @@ A document is the set of its distinct word shingles. Two documents are linked wh
    known, it tries the other centres of its buckets that lie in other components.
 4. Stars see every pair of a bucket of up to ``CENTRES + 1`` classes. In larger buckets
    pairs without a centre, in different components still, are searched exactly: their
-   classes are joined on the rarest shingles of their sets (prefix and position filter).
+   classes are joined on the rarest shingles of their sets (prefix, position and parity filter).
 5. A candidate must share two band values, and is then confirmed on the full sets.
 
 A pair above the threshold shares fewer than two band values with a probability below
@@ -35,6 +35,7 @@ BINS = 120
 MISS = 1e-5
 CENTRES = 6
 SHARED = 2
+PARITY = 16  # longs of a set's parity bits
 _PROBES = 64
 
 
@@ -128,19 +129,33 @@ def _signed(df: DataFrame, id_col: str, text: str, width: int, bands: int, rows:
         run, "id string, n long, f1 long, f2 long, bands array<long>").withColumn("id", F.col("id").cast("long"))
 
 
+def parity(values) -> np.ndarray:
+    """Whether each of ``64 * PARITY`` groups of hashes holds an odd number of them, as bits of longs.
+
+    A group whose bits differ holds a value of one set only, so two sets differ in as many
+    values, at least, as they do in bits.
+    """
+    odd = np.bincount((values % np.uint64(64 * PARITY)).astype(np.int64), minlength=64 * PARITY) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _sets(df: DataFrame, id_col: str, text: str, width: int) -> DataFrame:
+    """(id, items, parity) of every text."""
+    columns = ["id", "items", "parity"]
+
     def run(batches):
         for pdf in batches:
             ids, out, held = pdf["id"].tolist(), [], 0
             for i, s in shingle_sets(pdf["t"].tolist(), width):
-                out.append((ids[i], s.astype(np.int64)))
+                out.append((ids[i], s.astype(np.int64), parity(s)))
                 held += len(s)
                 if held > 500_000:
-                    yield _frame(out, ["id", "items"])
+                    yield _frame(out, columns)
                     out, held = [], 0
-            yield _frame(out, ["id", "items"])
+            yield _frame(out, columns)
 
-    return df.select(F.col(id_col).alias("id"), F.col(text).alias("t")).mapInPandas(run, "id long, items array<long>")
+    return df.select(F.col(id_col).alias("id"), F.col(text).alias("t")).mapInPandas(
+        run, "id long, items array<long>, parity array<long>")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -165,7 +180,9 @@ def _across(inside: DataFrame, centres: DataFrame, label: DataFrame, sets: DataF
 
     Two similar sets share a shingle among the rarest ``n - ceil(percent/100 * n) + 1`` of
     each, in one global order by frequency, and its places in both leave room for the
-    wanted intersection. Sets of a family that differ in their rare shingles never meet.
+    wanted intersection. Shingles of one component only, which no pair shares, take no room.
+    Sets whose parity bits differ too much for the wanted intersection are not paired, so that
+    of families under the threshold few pairs come out, while their comparisons remain.
     """
     members = inside.filter(F.col("m") > CENTRES + 1).select("rep", "key").join(
         centres.select("key", F.col("centre").alias("rep")), ["key", "rep"], "left_anti")
@@ -174,16 +191,19 @@ def _across(inside: DataFrame, centres: DataFrame, label: DataFrame, sets: DataF
     unseen = stored(own.join(mixed.select("key"), "key").groupBy("rep", "p").agg(F.count("*").alias("k"))
                     .filter(F.col("k") >= SHARED).select(F.col("rep").alias("id"), "p"))
     items = sets.join(unseen, "id").select("id", "p", F.size("items").alias("n"), F.explode("items").alias("item"))
-    often = items.groupBy("item").agg(F.count("*").alias("df")).filter("df > 1")
-    order = items.join(often, "item", "left").groupBy("id", "p", "n").agg(
-        F.sort_array(F.collect_list(F.struct(F.coalesce("df", F.lit(1)).alias("df"), "item"))).alias("order"))
-    prefix = F.expr(f"n - CAST(ceil({percent} * n / 100.0) AS INT) + 1")
-    heads = stored(order.select("id", "p", "n", F.posexplode(F.slice("order", F.lit(1), prefix)).alias("at", "o"))
-                   .filter("o.df > 1").select("id", "p", "n", "at", "o.item"))
-    a, b = [heads.select(F.col("id").alias(c), "item", *[F.col(k).alias(f"{k}_{c}") for k in ("p", "n", "at")]) for c in "ab"]
-    room = "(least(at_a, at_b) + least(n_a - at_a, n_b - at_b))"
+    often = items.groupBy("item").agg(F.count("*").alias("df"), F.min("p").alias("lo"), F.max("p").alias("hi")).filter("lo < hi")
+    order = items.join(often.select("item", "df"), "item").groupBy("id", "p", "n").agg(
+        F.sort_array(F.collect_list(F.struct("df", "item"))).alias("order")).withColumn("m", F.size("order"))
+    prefix = F.expr(f"greatest(m - CAST(ceil({percent} * n / 100.0) AS INT) + 1, 0)")
+    heads = stored(order.select("id", "p", "n", "m", F.posexplode(F.slice("order", F.lit(1), prefix)).alias("at", "o"))
+                   .select("id", "p", "n", "m", "at", "o.item").join(sets.select("id", "parity"), "id"))
+    a, b = [heads.select(F.col("id").alias(c), "item", *[F.col(k).alias(f"{k}_{c}") for k in ("p", "n", "m", "at", "parity")])
+            for c in "ab"]
+    room = "(least(at_a, at_b) + least(m_a - at_a, m_b - at_b))"
+    apart = " + ".join(f"bit_count(parity_a[{k}] ^ parity_b[{k}])" for k in range(PARITY))
     return a.join(b, "item").filter(
-        f"a < b AND p_a <> p_b AND 100 * {room} >= {percent} * (n_a + n_b - {room})").select("a", "b").distinct()
+        f"a < b AND p_a <> p_b AND 100 * {room} >= {percent} * (n_a + n_b - {room})"
+        f" AND {100 + percent} * (n_a + n_b - ({apart})) >= {2 * percent} * (n_a + n_b)").select("a", "b").distinct()
 
 
 def _labelled(rows: DataFrame, label: DataFrame, col: str, out: str) -> DataFrame:

@@ -135,6 +135,36 @@ def test_links_beside_the_centres_of_large_buckets(spark):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in neardup.near_duplicates(df).collect()} == want
 
 
+def test_few_pairs_of_a_family_under_the_threshold(spark, monkeypatch):
+    """Copies of one text with eight words changed, each to one of three words, and some true pairs."""
+    rng = random.Random(8)
+    base, out = [f"w{i}" for i in range(150)], []
+    for _ in range(120):
+        copy = list(base)
+        for k in rng.sample(range(150), 8):
+            copy[k] = f"x{k}-{rng.randrange(3)}"
+        out.append(copy)
+    for copy in out[:10]:
+        out.append(copy[:-1] + ["y"])
+    texts = {i: " ".join(w) for i, w in enumerate(out)}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    across, pairs = neardup._across, []
+    monkeypatch.setattr(neardup, "_across", lambda *given: (pairs.append(across(*given).count()), across(*given))[1])
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in neardup.near_duplicates(df).collect()}
+    want = brute_groups(texts, 3, 85)
+    assert got == want and sum(i != c for i, (_, c) in want.items()) >= 10
+    assert pairs[0] < 2 * len(texts)  # of 8,385; the prefix and its places alone leave most of them
+
+
+def test_parity_bits_never_count_more_than_the_difference():
+    rng = np.random.default_rng(1)
+    for size in (0, 1, 50, 5000):
+        a = np.unique(rng.integers(0, 2 ** 64, size, dtype=np.uint64))
+        b = np.union1d(a[::2], rng.integers(0, 2 ** 64, size // 3, dtype=np.uint64))
+        apart = sum(int(x).bit_count() for x in (neardup.parity(a) ^ neardup.parity(b)).view(np.uint64))
+        assert len(neardup.parity(a)) == neardup.PARITY and apart <= len(np.setxor1d(a, b)) and (size or not apart)
+
+
 def test_components_of_chains_and_hubs(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, k) for k in range(101, 160)] + [(200, 200), (300, 299), (299, 300), (None, 1)]
     got = {r["node"]: r["component"] for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}
