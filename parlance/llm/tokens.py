@@ -16,6 +16,7 @@ import numpy as np
 from .words import Hasher, buffers, is_space, owners
 
 ENTRIES, POOL = 400_000, 3_000_000
+JOINED = 100  # new segments encoded as one text
 _MARK, _PLAIN = np.zeros(256, bool), np.zeros(256, bool)
 _MARK[list(b".,;:!?")] = True
 _PLAIN[list(b"0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")] = True
@@ -31,6 +32,10 @@ class Encoder:
         whole, apart = ([i for part in parts for i in self.tokenizer.encode(part, add_special_tokens=False).ids]
                         for parts in (["ab, 1.c;\n d!"], ["ab", ",", " 1", ".c", ";", "\n d", "!"]))
         self.marks_apart = whole == apart
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.width = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for token, i in vocabulary.items():
+            self.width[i] = len(token)  # byte-level tokens have a letter for every byte
         self.clear()
 
     def clear(self):
@@ -44,8 +49,34 @@ class Encoder:
         while len(self.pool) < ids:
             self.pool = np.resize(self.pool, 2 * len(self.pool))
 
+    def _ids(self, segments):
+        """Ids of each segment.
+
+        Segments from white space to anything else are encoded many at a time, as cuts before white
+        space change no ids; the bytes of the ids tell whose they are. If these do not fit, the
+        segments are encoded one by one.
+        """
+        found = [None] * len(segments)
+        free = [i for i, s in enumerate(segments) if s[0] in " \t\n\x0b\f\r" and not s[-1].isspace()]
+        parts = [free[k:k + JOINED] for k in range(0, len(free), JOINED)]
+        texts = ["".join([segments[i] for i in part]) for part in parts]
+        for part, whole in zip(parts, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+            ids = whole.ids
+            upto = np.cumsum(self.width[ids])
+            ends = np.cumsum([len(segments[i].encode()) for i in part])
+            last = np.searchsorted(upto, ends)
+            if last[-1] == len(ids) - 1 and (upto[last] == ends).all():
+                begin = 0
+                for i, end in zip(part, (last + 1).tolist()):
+                    found[i] = ids[begin:end]
+                    begin = end
+        alone = [i for i, ids in enumerate(found) if ids is None]
+        for i, e in zip(alone, self.tokenizer.encode_batch_fast([segments[i] for i in alone], add_special_tokens=False)):
+            found[i] = e.ids
+        return found
+
     def _learn(self, keys, segments):
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(segments, add_special_tokens=False)]
+        found = self._ids(segments)
         lengths = np.fromiter(map(len, found), np.int64, len(found))
         at, end, ids = len(self.known), len(self.known) + len(found), int(lengths.sum())
         self._room(end, self.filled + ids)

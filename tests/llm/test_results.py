@@ -314,6 +314,32 @@ def test_rates_solve_the_dual(spark):
         assert max(tilt) == pytest.approx(min(tilt), rel=1e-6)
 
 
+def test_new_segments_are_encoded_many_at_a_time():
+    rng = random.Random(6)
+    letters = "abcdefgh\u00e9\u4e2d\U0001f600'"
+    texts = [" ".join("".join(rng.choices(letters, k=rng.randint(1, 9))) + rng.choice(["", ",", ".;", "'s", "\u3000", "\n"])
+                      for _ in range(300)) for _ in range(6)]
+    texts += ["x<|endoftext|> y <|endoftext|>z", "a  b \t\n c\u00a0 \n d\u0085 e", " \n ", "", None]
+    encoder, plain = tokens.Encoder(TOKENIZER), Tokenizer.from_file(TOKENIZER)
+    given, learned = [], []
+
+    class Counting:
+        def encode_batch_fast(self, batch, **options):
+            given.extend(batch)
+            return plain.encode_batch_fast(batch, **options)
+
+    learn = encoder._learn
+    encoder.tokenizer = Counting()
+    encoder._learn = lambda keys, segments: (learned.extend(segments), learn(keys, segments))
+    for i, ids in encoder.encoded(texts):
+        assert ids.tolist() == plain.encode(texts[i] or "", add_special_tokens=False).ids, texts[i]
+    assert len(given) < len(learned) / 3  # one each before
+    encoder.clear()
+    encoder.width = encoder.width * 0 + 1  # bytes that fit no segment: each is encoded alone
+    for i, ids in encoder.encoded(texts):
+        assert ids.tolist() == plain.encode(texts[i] or "", add_special_tokens=False).ids, texts[i]
+
+
 # -- packing
 
 def test_ids_by_segments_equal_the_tokenizer():
