@@ -25,7 +25,7 @@ def mix(x):
     return x
 
 
-def buffers(texts):
+def buffers(texts, most=BUFFER):
     """Yield (positions of the texts, byte buffer, starts, ends); NULL is empty.
 
     Every text is followed by a newline that belongs to none.
@@ -33,7 +33,7 @@ def buffers(texts):
     part, at, size = [], [], 0
     for i, text in enumerate(texts):
         raw = text.encode("utf-8", "surrogatepass") if isinstance(text, str) else b""
-        if part and size + len(raw) > BUFFER:
+        if part and size + len(raw) > most:
             yield _laid(at, part)
             part, at, size = [], [], 0
         part.append(raw)

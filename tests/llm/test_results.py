@@ -340,6 +340,22 @@ def test_new_segments_are_encoded_many_at_a_time():
         assert ids.tolist() == plain.encode(texts[i] or "", add_special_tokens=False).ids, texts[i]
 
 
+def test_a_full_table_of_segments_keeps_the_common_ones(monkeypatch):
+    """Common segments are learned once, however many rare ones come between; before, each new table learned them again."""
+    monkeypatch.setattr(tokens, "ENTRIES", 400)
+    monkeypatch.setattr(tokens, "POOL", 4000)
+    rng = random.Random(8)
+    common = ["".join(rng.choices("abcd\u00e9", k=5)) for _ in range(60)]
+    encoder, plain, learned = tokens.Encoder(TOKENIZER), Tokenizer.from_file(TOKENIZER), Counter()
+    learn = encoder._learn
+    encoder._learn = lambda keys, segments: (learned.update(s if isinstance(s, bytes) else s.encode() for s in segments), learn(keys, segments))
+    for k in range(40):
+        text = " ".join(["x"] + common + [f"w{k}q{i}" for i in range(100)] + ["long" * 300])
+        (_, ids), = encoder.encoded([text])
+        assert ids.tolist() == plain.encode(text, add_special_tokens=False).ids
+    assert {learned[f" {w}".encode()] for w in common} == {1}
+
+
 # -- packing
 
 def test_ids_by_segments_equal_the_tokenizer():
