@@ -33,6 +33,11 @@ def test_without_the_pipeline(tmp_path):
     assert ask(copied(tmp_path, "corpus_pipeline.py"))[3] == "False"
 
 
+def test_a_pipeline_elsewhere_is_not_taken(tmp_path, monkeypatch):
+    monkeypatch.setenv("PYTHONPATH", ROOT)
+    assert ask(copied(tmp_path, "corpus_pipeline.py"))[3] == "False"
+
+
 def test_without_tokenizers():
     blocked = ("import importlib.util as u; real = u.find_spec; "
                "u.find_spec = lambda n, *a: None if n == 'public_tokenizers' else real(n, *a); ")
