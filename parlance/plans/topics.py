@@ -5,6 +5,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import LDA, LDAModel
 from pyspark.ml.feature import CountVectorizer, CountVectorizerModel, RegexTokenizer, StopWordsRemover
@@ -134,14 +135,17 @@ def fit_topics(spark: SparkSession, texts: DataFrame, text: str = "full_text", t
     counter = CountVectorizer(inputCol="filtered_words", outputCol="features",
                               vocabSize=vocabulary, minDF=min_documents)
     texts = PipelineModel(stages=[words, remover]).transform(texts).drop("words")
-    # The words are read twice, for the vocabulary and for the counts; texts are not kept.
-    kept = texts.select("filtered_words").persist()
-    prepared = Pipeline(stages=[counter]).fit(kept)
+    # The words are read twice, for the vocabulary and for the counts; texts are not kept. Both tables
+    # stay on disk, where executors hold none of them between tasks. A task does hold what it writes or
+    # reads of them, up to a hundred batches, and a list of words takes over three times the memory of a line.
+    kept = texts.select(F.concat_ws(" ", "filtered_words").alias("filtered_words")).persist(StorageLevel.DISK_ONLY)
+    listed = kept.select(F.array_remove(F.split("filtered_words", " "), "").alias("filtered_words"))
+    prepared = Pipeline(stages=[counter]).fit(listed)
     # Terms of equal count come in no fixed order, on which the start of the topics
     # depends; in alphabetical order the same texts give the same topics.
     terms = sorted(prepared.stages[-1].vocabulary)
     counted = CountVectorizerModel.from_vocabulary(terms, "filtered_words", "features")
-    counts = counted.transform(kept).select("features").persist()
+    counts = counted.transform(listed).select("features").persist(StorageLevel.DISK_ONLY)
     try:
         model = LDA(k=topics, maxIter=iterations, featuresCol="features", topicConcentration=1 / topics,
                     optimizeDocConcentration=True, seed=seed).fit(counts)

@@ -116,6 +116,18 @@ def test_topics_keep_words_only_and_drop_the_same_characters(spark, monkeypatch)
     assert not any(k in topics.PUNCTUATION for k in ("a-z", r"\s"))  # those take fifteen times as long
 
 
+def test_topics_keep_nothing_in_executors_memory(spark, monkeypatch):
+    kept, persist = [], DataFrame.persist
+    monkeypatch.setattr(DataFrame, "persist", lambda df, *level: (kept.append((df.dtypes, persist(df, *level).storageLevel)), df)[1])
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(["cat dog", "Dog cat 7 _x", "", "the", "cat dog"])], "id int, full_text string")
+    model = topics.fit_topics(spark, df, topics=2, iterations=1)
+    assert [(level.useDisk, level.useMemory, level.useOffHeap) for _, level in kept] == [(True, False, False)] * 2
+    assert kept[0][0] == [("filtered_words", "string")]  # a list of words takes over three times the memory
+    assert model.vocabulary == ["cat", "dog"]
+    counts = [r.features.toArray().tolist() for r in model.features.orderBy("id").collect()]
+    assert counts == [[1, 1], [1, 1], [0, 0], [0, 0], [1, 1]]
+
+
 def test_dominant_topic_takes_the_first_of_equals(spark):
     df = spark.createDataFrame([(Vectors.dense([0.4, 0.4, 0.2]),), (Vectors.dense([0.1, 0.2, 0.7]),)], ["topicDistribution"])
     assert [r[0] for r in df.select(topics.dominant_topic()).collect()] == [0, 2]
