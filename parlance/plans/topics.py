@@ -97,7 +97,8 @@ class TopicModel:
         log_beta = _digamma(weights) - _digamma(weights.sum(axis=0))
 
         def run(batches):
-            for batch in batches:
+            # A hundred texts at a time: the weights take several numbers for each term and topic.
+            for batch in (whole.slice(at, 100) for whole in batches for at in range(0, whole.num_rows, 100)):
                 # A vector is a struct in Arrow; that of a text without terms has empty lists.
                 indices, counts = [batch.column("features").field(k) for k in ("indices", "values")]
                 lengths = indices.value_lengths().to_numpy()
@@ -112,7 +113,15 @@ class TopicModel:
 
         found = self.model.transform(self.features.select("features")).select(
             "features", vector_to_array("topicDistribution").alias("shares")).mapInArrow(run, "bound double, terms double")
-        bound, terms = found.agg(F.coalesce(F.sum("bound"), F.lit(0.0)), F.coalesce(F.sum("terms"), F.lit(0.0))).first()
+        totals = found.agg(F.coalesce(F.sum("bound"), F.lit(0.0)), F.coalesce(F.sum("terms"), F.lit(0.0)))
+        # Batches are also held by the JVM, outside of its heap.
+        setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+        rows = int(self.spark.conf.get(setting))
+        self.spark.conf.set(setting, min(rows, 500) if rows > 0 else 500)
+        try:
+            bound, terms = totals.first()
+        finally:
+            self.spark.conf.set(setting, rows)
         bound += ((eta - weights) * log_beta).sum() + (_log_gamma(weights) - math.lgamma(eta)).sum()
         bound += weights.shape[1] * math.lgamma(eta * len(weights)) - _log_gamma(weights.sum(axis=0)).sum()
         return {"log_perplexity": float(-np.float64(bound) / terms), "log_likelihood": float(bound)}

@@ -1,5 +1,8 @@
 import random
+import tracemalloc
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
@@ -128,6 +131,38 @@ def test_topics_keep_nothing_in_executors_memory(spark, monkeypatch):
     assert counts == [[1, 1], [1, 1], [0, 0], [0, 0], [1, 1]]
 
 
+def test_topic_metrics_take_a_few_texts_at_a_time(spark, monkeypatch):
+    texts = [f"cat{' dog' * (i % 3)} bird{' stock' * (i % 2)} market" for i in range(20)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, full_text string")
+    model = topics.fit_topics(spark, df, topics=2, iterations=1)
+    taken, mapped = [], DataFrame.mapInArrow
+    monkeypatch.setattr(DataFrame, "mapInArrow", lambda df, run, *more: (taken.append(run), mapped(df, run, *more))[1])
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    model.metrics()
+    assert spark.conf.get(setting) == before
+    rng, n, terms = np.random.default_rng(1), 5000, len(model.vocabulary) * 20
+    indices, counts = rng.integers(0, len(model.vocabulary), n * terms), rng.integers(1, 9, n * terms).astype(float)
+    ends = pa.array(np.arange(n + 1) * terms, pa.int32())
+    features = pa.StructArray.from_arrays(
+        [pa.ListArray.from_arrays(ends, pa.array(x)) for x in (indices, counts)], ["indices", "values"])
+    first = rng.uniform(0.1, 0.9, n)
+    shares = pa.ListArray.from_arrays(
+        pa.array(np.arange(n + 1) * 2, pa.int32()), pa.array(np.column_stack([first, 1 - first]).ravel()))
+    batch = pa.RecordBatch.from_arrays([features, shares], ["features", "shares"])
+    tracemalloc.start()
+    try:
+        found = [out.to_pydict() for out in taken[0]([batch])]
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 2 * n * terms * 8  # of all texts at once, the weights of two topics take more
+    sizes = np.concatenate([out["terms"] for out in found])
+    assert sizes == pytest.approx(counts.reshape(n, terms).sum(axis=1))
+    alone = next(taken[0]([batch.slice(n - 1)])).to_pydict()
+    assert found[-1]["bound"][-1] == pytest.approx(alone["bound"][0], rel=1e-12)
+
+
 def test_dominant_topic_takes_the_first_of_equals(spark):
     df = spark.createDataFrame([(Vectors.dense([0.4, 0.4, 0.2]),), (Vectors.dense([0.1, 0.2, 0.7]),)], ["topicDistribution"])
     assert [r[0] for r in df.select(topics.dominant_topic()).collect()] == [0, 2]
